@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only (closed files, no event time, no state)."""
