@@ -7,12 +7,11 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-
-_log_gamma = np.frompyfunc(math.lgamma, 1, 1)
+from pyspark.sql import types as T
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
-    return _log_gamma(x).astype(float)
+    return np.array([math.lgamma(v) for v in x])
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -52,12 +51,12 @@ def student_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(student_two_sided(t.to_numpy(float), df.to_numpy(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hypergeom_tail(total: pd.Series, marked: pd.Series, drawn: pd.Series, hits: pd.Series) -> pd.Series:
     """P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them count."""
 
