@@ -167,16 +167,18 @@ def lineage_counts(
         alive = F.expr(f"filter(near, c -> md5(concat_ws('|', c.id, rep, '{seed}')) <= cut)")
         walk = walk.withColumn("alive", F.slice(alive, F.lit(1), F.col("k")))
         served = (F.size("alive") >= F.col("k")) | (F.size("near") < length)
-        parts.append(
-            walk.filter(served)
-            .select(*PAIR, "rep", "nex_state", F.explode("alive.state").alias("pre_state"))
+        # a cell whose list ran out leaves one row without an earlier state
+        found = F.when(served, F.col("alive.state")).otherwise(F.array(F.lit(None).cast("string")))
+        part = materialise(
+            walk.select(*PAIR, "rep", "nex_state", F.explode(found).alias("pre_state"))
             .groupBy(*PAIR, "rep", "nex_state", "pre_state")
-            .agg(F.count("*").alias("n"))
+            .agg(F.count("*").alias("n")),
+            "counts",
         )
-        # only cells with a full list can run out; usually there are none
-        wanted = materialise(walk.filter(~served).select(*PAIR, "cell_id", "rep"), "short")
-        if not wanted.limit(1).count():
+        parts.append(part.filter("pre_state is not null"))
+        if not part.filter("pre_state is null").limit(1).count():
             break
+        wanted = materialise(walk.filter(~served).select(*PAIR, "cell_id", "rep"), "short")
         todo = nex.join(wanted.select(*PAIR, "cell_id").distinct(), [*PAIR, "cell_id"], "left_semi")
         length *= 4
     counts = parts[0]
@@ -189,7 +191,6 @@ def lineage_counts(
 
 def lineage_probs(counts: DataFrame, states: DataFrame) -> DataFrame:
     """Row-normalised counts with a zero for every state pair that met no neighbour."""
-    counts = materialise(counts, "counts")
     key = [*PAIR, "rep"]
     rows = counts.groupBy(*key, "nex_state").agg(F.sum("n").alias("total"))
     columns = states.groupBy(*key).agg(F.collect_set("state").alias("_pre"))

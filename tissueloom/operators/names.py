@@ -12,6 +12,7 @@ from tissueloom.functions.columns import (
     stack_name,
     stage_token,
 )
+from tissueloom.sources.storage import materialise
 
 # Fixed value: length of the suffix that follows the key in a catalogued file name.
 KEY_SUFFIX = 7
@@ -59,4 +60,4 @@ def prefix_lookup(images: DataFrame, catalog: DataFrame, key: str = "chip") -> D
         .agg(F.max_by(F.struct("_prefix", "path"), "_n").alias("_hit"))
         .select(key, F.col("_hit._prefix").alias("matched"), F.col("_hit.path").alias("path"))
     )
-    return images.join(best, key, "left")
+    return images.join(materialise(best, "lookup"), key, "left")

@@ -12,12 +12,17 @@ from tissueloom.sources.storage import materialise
 CELL = ["slice", "cell"]
 
 
+# genes per block when zeros are filled in
+BLOCK = 64
+
+
 def dense_counts(counts: DataFrame) -> DataFrame:
     """Cell x gene counts of each slice with explicit zeros, plus all sums the residuals need.
 
-    Only the sparse rows are shuffled.  Per cell they are put in gene order; each one, and one
-    marker row in front, then produces itself and the zeros up to the next stored gene, so the
-    dense rows appear in flight.  A window partition is one cell (at most as long as the genome).
+    The dense table is never shuffled.  Per cell the stored genes are put in gene order; each
+    one, and one marker row in front, stands for itself and the zeros up to the next stored gene.
+    Such a run is cut at block borders, joined to blocks of consecutive genes, and only then
+    widened to dense rows.  A window partition is one cell (at most as long as the genome).
     Returns ``slice, cell, gene, cnt, cell_sum, gene_sum, total, n_cells``.
     """
     counts = materialise(counts.select(*CELL, "gene", "cnt"), "sparse")
@@ -25,44 +30,51 @@ def dense_counts(counts: DataFrame) -> DataFrame:
     genes = materialise(
         counts.groupBy("slice", "gene")
         .agg(F.sum("cnt").alias("gene_sum"))
-        .withColumn("idx", F.row_number().over(by_gene)),
+        .withColumn("idx", F.row_number().over(by_gene) - 1),
         "genes",
     )
+    blocks = materialise(
+        genes.groupBy("slice", F.floor(F.col("idx") / BLOCK).cast("int").alias("block")).agg(
+            F.sort_array(F.collect_list(F.struct("idx", "gene", "gene_sum"))).alias("genes")
+        ),
+        "blocks",
+    )
     cells = counts.groupBy(*CELL).agg(F.sum("cnt").alias("cell_sum"))
     slices = materialise(
         cells.groupBy("slice")
         .agg(F.sum("cell_sum").alias("total"), F.count("*").alias("n_cells"))
-        .join(genes.groupBy("slice").agg(F.max("idx").alias("n_genes")), "slice"),
+        .join(genes.groupBy("slice").agg(F.max("idx").alias("last")), "slice"),
         "slices",
     )
     stored = counts.join(genes.select("slice", "gene", "idx"), ["slice", "gene"]).select(
         *CELL, "idx", "cnt"
     )
-    markers = counts.select(*CELL).distinct().select(*CELL, F.lit(0).alias("idx"), F.lit(0).alias("cnt"))
+    markers = counts.select(*CELL).distinct().select(*CELL, F.lit(-1).alias("idx"), F.lit(0).alias("cnt"))
     in_cell = Window.partitionBy(*CELL)
     runs = (
         stored.unionByName(markers)
         .withColumn("cell_sum", F.sum("cnt").over(in_cell))
         .withColumn("_next", F.lead("idx").over(in_cell.orderBy("idx")))
         .join(slices, "slice")
+        .withColumn("_from", F.greatest("idx", F.lit(0)))
+        .withColumn("_to", F.coalesce(F.col("_next") - 1, F.col("last")))
+        .filter("_from <= _to")
+        .withColumn("block", F.explode(F.expr(f"sequence(_from div {BLOCK}, _to div {BLOCK})")))
+        .withColumn("block", F.col("block").cast("int"))
     )
-    filled = runs.select(
-        *CELL,
-        "cell_sum",
-        "total",
-        "n_cells",
-        F.col("idx").alias("_at"),
-        "cnt",
-        F.explode(F.expr("sequence(idx, coalesce(_next, n_genes + 1) - 1)")).alias("idx"),
-    ).filter("idx > 0")
-    return filled.join(genes, ["slice", "idx"]).select(
-        *CELL,
-        "gene",
-        F.when(F.col("idx") == F.col("_at"), F.col("cnt")).otherwise(0).alias("cnt"),
-        "cell_sum",
-        "gene_sum",
-        "total",
-        "n_cells",
+    inside = F.filter("genes", lambda g: (g.idx >= F.col("_from")) & (g.idx <= F.col("_to")))
+    return (
+        runs.join(blocks, ["slice", "block"])
+        .select(*CELL, "cell_sum", "total", "n_cells", F.col("idx").alias("_at"), "cnt", F.inline(inside))
+        .select(
+            *CELL,
+            "gene",
+            F.when(F.col("idx") == F.col("_at"), F.col("cnt")).otherwise(0).alias("cnt"),
+            "cell_sum",
+            "gene_sum",
+            "total",
+            "n_cells",
+        )
     )
 
 

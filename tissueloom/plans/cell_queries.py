@@ -121,9 +121,9 @@ def lineage_counts(spark, sf_dir):
     return lineage.lineage_counts(pre, nex, reps, seed=SEED)
 
 
-@query("lineage_probs", with_ctes("SELECT * REPLACE (round(prob, 6) AS prob) FROM probs", "sc_cells", extra=_LINEAGE))
+@query("lineage_probs", with_ctes("SELECT * FROM probs", "sc_cells", extra=_LINEAGE))
 def lineage_probs(spark, sf_dir):
-    return r6(_transitions(spark, sf_dir), "prob")
+    return _transitions(spark, sf_dir)
 
 
 @query("lineage_median", with_ctes("SELECT * REPLACE (round(prob, 6) AS prob) FROM med", "sc_cells", extra=_LINEAGE))
@@ -529,5 +529,5 @@ def pca(spark, sf_dir):
 @query("n_components")
 def n_components(spark, sf_dir):
     """Components of the loading matrix that explain 90 % of its variance."""
-    model, _ = reduce.fit_pca(bind.vecs(spark, sf_dir).select("cell", "vec"))
-    return reduce.n_components(reduce.loadings(model, spark))
+    found, _ = reduce.fit_pca(bind.vecs(spark, sf_dir).select("cell", "vec"))
+    return reduce.n_components(reduce.loadings_table(found, spark))

@@ -254,7 +254,7 @@ def bin_spots(spark, sf_dir):
     "bin_stats",
     with_ctes(
         """SELECT slice, bx, "by", count(*) AS n_genes, sum(cnt) AS n_counts,
-             round(CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / sum(cnt), 6) AS p_mito
+             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / sum(cnt) AS p_mito
            FROM (SELECT slice, CAST(floor(x / 20) AS INTEGER) AS bx, CAST(floor(y / 20) AS INTEGER) AS "by", gene,
                    sum(cnt) AS cnt FROM clean GROUP BY ALL) GROUP BY ALL""",
         "clean",
@@ -266,7 +266,7 @@ def bin_stats(spark, sf_dir):
         "slice", F.struct("bx", "by").alias("cell"), "gene", "cnt"
     )
     return qc.basic_stats(binned).select(
-        "slice", "cell.bx", "cell.by", "n_genes", "n_counts", F.round("p_mito", 6).alias("p_mito")
+        "slice", "cell.bx", "cell.by", "n_genes", "n_counts", "p_mito"
     )
 
 
@@ -325,15 +325,15 @@ def center_distance(spark, sf_dir):
 # --- quality and normalisation ---------------------------------------------------------------
 
 
-@query("basic_stats", with_ctes("SELECT * REPLACE (round(p_mito, 6) AS p_mito) FROM stats", "stats"))
+@query("basic_stats", with_ctes("SELECT * FROM stats", "stats"))
 def basic_stats(spark, sf_dir):
-    return r6(qc.basic_stats(bind.counts(spark, sf_dir)), "p_mito")
+    return qc.basic_stats(bind.counts(spark, sf_dir))
 
 
-@query("qc_cells", with_ctes("SELECT * REPLACE (round(p_mito, 6) AS p_mito) FROM good_cells", "good_cells"))
+@query("qc_cells", with_ctes("SELECT * FROM good_cells", "good_cells"))
 def qc_cells(spark, sf_dir):
     stats = qc.basic_stats(bind.counts(spark, sf_dir))
-    return r6(qc.qc_cells(stats, bind.cells(spark, sf_dir)), "p_mito")
+    return qc.qc_cells(stats, bind.cells(spark, sf_dir))
 
 
 @query("qc_genes", with_ctes("SELECT * FROM good_genes", "good_genes"))
@@ -343,9 +343,9 @@ def qc_genes(spark, sf_dir):
     return qc.qc_genes(counts, cells)
 
 
-_BOX = """SELECT slice, '{0}' AS phase, '{1}' AS metric, round(min({1}), 6) AS low,
-  round(quantile_cont({1}, 0.25), 6) AS q1, round(quantile_cont({1}, 0.5), 6) AS median,
-  round(quantile_cont({1}, 0.75), 6) AS q3, round(max({1}), 6) AS high, round(avg({1}), 6) AS mean
+_BOX = """SELECT slice, '{0}' AS phase, '{1}' AS metric, round(min({1}), 10) AS low,
+  round(quantile_cont({1}, 0.25), 10) AS q1, round(quantile_cont({1}, 0.5), 10) AS median,
+  round(quantile_cont({1}, 0.75), 10) AS q3, round(max({1}), 10) AS high, round(avg({1}), 10) AS mean
   FROM (SELECT slice, CAST({1} AS DOUBLE) AS {1} FROM {2}) GROUP BY slice"""
 
 
@@ -365,7 +365,7 @@ def qc_box(spark, sf_dir):
     kept = qc.qc_filter(counts, bind.cells(spark, sf_dir))
     cols = ["slice", "cell", "n_genes", "n_counts", "p_mito"]
     box = qc.qc_box(qc.basic_stats(counts).select(*cols), qc.basic_stats(kept).select(*cols))
-    return r6(box, "low", "q1", "median", "q3", "high", "mean")
+    return r6(box, "low", "q1", "median", "q3", "high", "mean", digits=10)
 
 
 @query(
