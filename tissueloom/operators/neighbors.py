@@ -23,11 +23,12 @@ from tissueloom.sources.storage import materialise
 CHUNK_PAIRS = 1_000_000
 
 
-def _nearest_in_block(q: np.ndarray, b: np.ndarray, k: int):
+def _nearest_in_block(q: np.ndarray, b: np.ndarray, k: int, bound: np.ndarray):
     """Row and column positions and squared distances of the k nearest; ties by column.
 
     A matrix product gives approximate distances; whatever is within rounding error of the k-th
-    is recomputed as a plain sum of squares before ranking.
+    (or of ``bound``, a squared distance that a useful neighbour cannot exceed) is recomputed as
+    a plain sum of squares before ranking.
     """
     origin = b.mean(axis=0)
     qc, bc = q - origin, b - origin
@@ -37,9 +38,13 @@ def _nearest_in_block(q: np.ndarray, b: np.ndarray, k: int):
     for at in range(0, len(q), step):
         part = slice(at, at + step)
         approx = qn[part, None] + bn[None, :] - 2.0 * (qc[part] @ bc.T)
-        kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
+        limit = bound[part]
+        if not np.isfinite(limit).all():
+            limit = np.minimum(limit, np.partition(approx, k - 1, axis=1)[:, k - 1])
         slack = 1e-10 * (qn[part] + bn.max() + 1e-30)
-        rows, cols = np.nonzero(approx <= (kth + slack)[:, None])
+        rows, cols = np.nonzero(approx <= (limit + slack)[:, None])
+        if not len(rows):
+            continue
         d2 = np.concatenate(
             [
                 ((q[at + rows[i : i + 200_000]] - b[cols[i : i + 200_000]]) ** 2).sum(axis=1)
@@ -54,7 +59,10 @@ def _nearest_in_block(q: np.ndarray, b: np.ndarray, k: int):
 
 
 def _block_join(visits: DataFrame, cells: DataFrame, by: list[str], k: int, carry: list[str], block_rows: int):
-    """Local top-k of every (query block, base block) of every visited cell."""
+    """Local top-k of every (query block, base block) of every visited cell.
+
+    ``_bound`` of a visit (null: unknown) is the squared distance its answers must not exceed.
+    """
     at = [*by, "_cell"]
     n_base = cells.groupBy(*at).agg(F.count("*").alias("_nb"))
     n_query = visits.groupBy(*at).agg(F.count("*").alias("_nq"))
@@ -71,7 +79,7 @@ def _block_join(visits: DataFrame, cells: DataFrame, by: list[str], k: int, carr
         visits.join(parts, at)
         .withColumn("_qb", F.pmod(F.xxhash64("_q"), "_qs").cast("int"))
         .withColumn("_bb", F.explode(F.expr("sequence(0, _bs - 1)")))
-        .select(*key, "_q", "_v")
+        .select(*key, "_q", "_v", "_bound")
     )
     right = (
         cells.join(parts, at)
@@ -92,7 +100,10 @@ def _block_join(visits: DataFrame, cells: DataFrame, by: list[str], k: int, carr
             return pd.DataFrame({n: [] for n in names})
         rt = rt.sort_values("_b", ignore_index=True)
         q, b = np.stack(lf["_v"].to_numpy()), np.stack(rt["_v"].to_numpy())
-        hits = list(_nearest_in_block(q, b, k))
+        bound = lf["_bound"].to_numpy(float)
+        hits = list(_nearest_in_block(q, b, k, np.where(np.isnan(bound), np.inf, bound)))
+        if not hits:
+            return pd.DataFrame({n: [] for n in names})
         rows, cols, d2 = (np.concatenate([h[i] for h in hits]) for i in range(3))
         out = {c: lf[c].iloc[0] for c in by}
         out |= {"_q": lf["_q"].to_numpy()[rows], "_b": rt["_b"].to_numpy()[cols], "_d2": d2}
@@ -117,70 +128,73 @@ def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0.0))
 
 
+def _chunks(frames: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches cut so that rows x ``width`` stays small, with their stacked vectors."""
+    step = max(1, CHUNK_PAIRS // width)
+    for pdf in frames:
+        for at in range(0, len(pdf), step):
+            part = pdf.iloc[at : at + step]
+            yield part, np.stack(part["_v"].to_numpy())
+
+
 def _assign(base: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Add the nearest pivot's number and the distance to it."""
     schema = T.StructType(
         base.schema.fields + [T.StructField("_cell", T.IntegerType()), T.StructField("_r", T.DoubleType())]
     )
+    shared = base.sparkSession.sparkContext.broadcast(pivots)
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            if len(pdf):
-                d = _distances(np.stack(pdf["_v"].to_numpy()), pivots)
-                home = d.argmin(axis=1)
-                yield pdf.assign(_cell=home.astype("int32"), _r=d[np.arange(len(d)), home])
+        for part, v in _chunks(frames, len(shared.value)):
+            d = _distances(v, shared.value)
+            home = d.argmin(axis=1)
+            yield part.assign(_cell=home.astype("int32"), _r=d[np.arange(len(d)), home])
 
     return base.mapInPandas(assign, schema)
 
 
-def _probe(queries: DataFrame, pivots: np.ndarray, stats: dict, by: list[str], k: int) -> DataFrame:
-    """For each query the cells to look into first, and the others with a lower distance bound."""
-    schema = T.StructType(
-        queries.schema.fields
-        + [
-            T.StructField("_first", T.ArrayType(T.IntegerType())),
-            T.StructField("_other", T.ArrayType(T.IntegerType())),
-            T.StructField("_low", T.ArrayType(T.DoubleType())),
-            T.StructField("_cap", T.DoubleType()),
-        ]
-    )
-    shared = queries.sparkSession.sparkContext.broadcast((pivots, stats))
+def _visits(queries: DataFrame, shared, by: list[str], k: int, first: bool) -> DataFrame:
+    """One row per query and cell to look into.
 
-    def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    First call: the nearest cells that together hold k rows.  Second call, when ``_bound`` holds
+    the squared distance of the k-th row found there: all other cells that can hold a nearer
+    one.  A cell's rows are at least (distance to its pivot - its radius) away, and on the other
+    side of the bisector between its pivot and the query's nearest pivot.
+    """
+    schema = T.StructType(queries.schema.fields + [T.StructField("_cells", T.ArrayType(T.IntegerType()))])
+
+    def nearest_cells(d, n):
+        order = np.argsort(d, kind="stable")
+        return order[: int(np.searchsorted(np.cumsum(n[order]), k)) + 1]
+
+    def visits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, stats = shared.value
-        for pdf in frames:
-            if pdf.empty:
-                continue
-            d = _distances(np.stack(pdf["_v"].to_numpy()), pivots)
+        nothing = (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        for part, v in _chunks(frames, len(pivots)):
+            d = _distances(v, pivots)
             eps = 1e-6 * (1.0 + d.max())  # covers the rounding error of the distance product
-            home = d.argmin(axis=1)
-            between = _distances(pivots[home], pivots)
-            groups = [tuple(g) for g in pdf[by].to_numpy(object)] if by else [()] * len(pdf)
-            rows = []
-            for i, g in enumerate(groups):
-                live, n, r = stats.get(g, (np.zeros(0, int), None, None))
-                if not len(live):
-                    rows.append(([], [], [], 0.0))
-                    continue
-                di = d[i, live]
-                near = np.argsort(di, kind="stable")
-                enough = int(np.searchsorted(np.cumsum(n[near]), k)) + 1
-                first = near[:enough]
-                reach = di + r
-                far = np.argsort(reach, kind="stable")
-                stop = min(int(np.searchsorted(np.cumsum(n[far]), k)), len(far) - 1)
-                cap = reach[far[stop]] + eps if n.sum() >= k else np.inf
-                gap = between[i, live]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    side = np.where(gap > 0, (di**2 - d[i, home[i]] ** 2) / (2 * gap), 0.0)
-                low = np.maximum(np.maximum(di - r, side) - eps, 0.0)
-                rest = low <= cap
-                rest[first] = False
-                rows.append((live[first].tolist(), live[rest].tolist(), low[rest].tolist(), float(cap)))
-            first, other, low, cap = zip(*rows)
-            yield pdf.assign(_first=list(first), _other=list(other), _low=list(low), _cap=list(cap))
-
-    return queries.mapInPandas(probe, schema)
+            groups = [tuple(g) for g in part[by].to_numpy(object)] if by else [()] * len(part)
+            cells = []
+            if first:
+                for i, g in enumerate(groups):
+                    live, n, _ = stats.get(g, nothing)
+                    cells.append(live[nearest_cells(d[i, live], n)].tolist())
+            else:
+                home = d.argmin(axis=1)
+                between = _distances(pivots[home], pivots)
+                reach = np.sqrt(part["_bound"].fillna(np.inf).to_numpy(float)) + eps
+                for i, g in enumerate(groups):
+                    live, n, r = stats.get(g, nothing)
+                    di, gap = d[i, live], between[i, live]
+                    side = np.zeros(len(live))
+                    apart = gap > eps
+                    side[apart] = (di[apart] ** 2 - d[i, home[i]] ** 2) / (2 * gap[apart])
+                    wanted = np.maximum(di - r, side) <= reach[i]
+                    wanted[nearest_cells(di, n)] = False
+                    cells.append(live[wanted].tolist())
+            yield part.assign(_cells=cells)
+
+    return queries.mapInPandas(visits, schema).withColumn("_cell", F.explode("_cells")).drop("_cells")
 
 
 def knn_join(
@@ -194,7 +208,7 @@ def knn_join(
     carry: Sequence[str] = (),
     exclude_self: bool = False,
     block_rows: int = 20_000,
-    max_pivots: int = 1024,
+    max_pivots: int = 16_384,
     max_cells: int = 500_000,
 ) -> DataFrame:
     """The k nearest base rows of each query row, by (Euclidean distance, base id).
@@ -227,9 +241,10 @@ def knn_join(
     n_pivots = 1
     if (size["rows"] or 0) > block_rows:
         n_pivots = min(max_pivots, math.ceil(4 * size["rows"] / block_rows), max_cells // size["groups"])
+    no_bound = F.lit(None).cast("double").alias("_bound")
     if n_pivots <= 1:
         one = F.lit(0).alias("_cell")
-        found = _block_join(q.select("*", one), b.select("*", one), by, want, carry, block_rows)
+        found = _block_join(q.select("*", no_bound, one), b.select("*", one), by, want, carry, block_rows)
         top = _best(found, by, want)
     else:
         picked = b.select("_v", F.md5(F.col("_b").cast("string")).alias("_key")).orderBy("_key").limit(n_pivots)
@@ -241,21 +256,16 @@ def knn_join(
             stats[g if isinstance(g, tuple) else (g,)] = (
                 part["_cell"].to_numpy(), part["n"].to_numpy(), part["r"].to_numpy()
             )
-        probed = materialise(_probe(q, pivots, stats, by, want), "probed")
+        shared = spark.sparkContext.broadcast((pivots, stats))
         cells = cells.drop("_r")
-        visit = probed.select(*by, "_q", "_v", F.explode("_first").alias("_cell"))
-        near = materialise(_best(_block_join(visit, cells, by, want, carry, block_rows), by, want).drop("rank"), "near")
-        bound = near.groupBy(*by, "_q").agg(
-            F.when(F.count("*") >= want, F.sqrt(F.max("_d2")) * (1 + 1e-9)).alias("_bound")
-        )
-        more = (
-            probed.join(bound, [*by, "_q"], "left")
-            .withColumn("_limit", F.least("_cap", F.coalesce("_bound", "_cap")))
-            .withColumn("_c", F.explode(F.arrays_zip("_other", "_low")))
-            .filter(F.col("_c._low") <= F.col("_limit"))
-            .select(*by, "_q", "_v", F.col("_c._other").alias("_cell"))
-        )
-        far = _block_join(materialise(more, "more"), cells, by, want, carry, block_rows)
+
+        def look(queries: DataFrame, first: bool) -> DataFrame:
+            visits = materialise(_visits(queries, shared, by, want, first), "visits")
+            return _block_join(visits, cells, by, want, carry, block_rows)
+
+        near = materialise(_best(look(q.select("*", no_bound), True), by, want).drop("rank"), "near")
+        kth = near.groupBy(*by, "_q").agg(F.when(F.count("*") >= want, F.max("_d2")).alias("_bound"))
+        far = look(q.join(kth, [*by, "_q"], "left").select(*by, "_q", "_v", "_bound"), False)
         top = _best(near.unionByName(far), by, want)
     if exclude_self:
         top = _best(top.filter(F.col("_q") != F.col("_b")).drop("rank"), by, k)

@@ -75,8 +75,9 @@ def counts(spark, sf_dir) -> DataFrame:
 
 
 def cells(spark, sf_dir) -> DataFrame:
-    return bins(spark, sf_dir, 5).select("slice", "cell", "x", "y").distinct().withColumn(
-        "area", F.lit(25).cast("long")
+    squares = clean(spark, sf_dir).selectExpr("slice", "x div 5 AS bx", "y div 5 AS b_y").distinct()
+    return squares.selectExpr(
+        "slice", "bx * 1000 + b_y AS cell", "(bx + 0.5D) * 5 AS x", "(b_y + 0.5D) * 5 AS y", "25L AS area"
     )
 
 
