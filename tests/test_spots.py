@@ -133,12 +133,14 @@ def _expand(grid, distance, cap=None):
     return sorted(("a", x, y, have.get((x, y), 0)) for _, x, y, _ in grid)
 
 
-@pytest.mark.parametrize("distance,cap", [(2, None), (5, None), (3, 12), (2, 4)])
+@pytest.mark.parametrize("distance,cap", [(2, None), (5, None), (4, None), (3, 12), (2, 4)])
 def test_expand_labels(spark, distance, cap):
     rnd = random.Random(3)
     seeds = {(rnd.randrange(14), rnd.randrange(14)): rnd.randrange(1, 6) for _ in range(14)}
     seeds |= {(x, y): 9 for x in range(4, 8) for y in range(4, 8)}
     grid = _grid(14, seeds)
+    if distance == 5:  # labels that do not fit the packed form
+        grid = [(s, x, y, v * 2**50) for s, x, y, v in grid]
     got = rows(pixels.expand_labels(spark.createDataFrame(grid, LABEL), distance, cap), "slice", "x", "y")
     assert got == _expand(grid, distance, cap)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,41 +18,71 @@ CLIP_LIMIT = 7
 LEVELS = 256
 
 
-def _disc(distance: float) -> list[tuple[int, int, int]]:
-    """Offsets (dx, dy, d2) within ``distance``, without the centre."""
-    reach = math.floor(distance)
-    span = range(-reach, reach + 1)
-    return [
-        (dx, dy, dx * dx + dy * dy)
-        for dx in span
-        for dy in span
-        if 0 < dx * dx + dy * dy <= distance * distance
-    ]
-
+# side of the square tiles in which labels grow (more when the distance is large)
+TILE_SIDE = 64
 
-def _rim(labelled: DataFrame) -> DataFrame:
-    """Labelled pixels with at least one 4-neighbour outside their label.
 
-    The nearest pixel of a label seen from outside always is one of these, so only they need
-    to be widened to discs.
+def _rings(distance: float) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Offsets within ``distance``, grouped by squared length, shortest first."""
+    reach = math.floor(distance)
+    rings: dict[int, list[tuple[int, int]]] = {}
+    for dx in range(-reach, reach + 1):
+        for dy in range(-reach, reach + 1):
+            d2 = dx * dx + dy * dy
+            if 0 < d2 <= distance * distance:
+                rings.setdefault(d2, []).append((dx, dy))
+    return sorted(rings.items())
+
+
+def _labels_in_reach(labels: DataFrame, distance: float, nearest_only: bool) -> DataFrame:
+    """``slice, x, y, label, d2``: the labels within ``distance`` of each background pixel.
+
+    The raster is cut into square tiles; a labelled pixel also goes to the neighbouring tiles it
+    can reach into, a background pixel only to its own.  So each pixel is shuffled once (and a
+    few more times near borders) instead of once per offset of the disc, and a task holds one
+    tile of bounded size.  ``nearest_only``: one row per background pixel, with the nearest label (ties
+    to the smaller one) or 0.
     """
-    along_y = Window.partitionBy("slice", "x").orderBy("y")
-    along_x = Window.partitionBy("slice", "y").orderBy("x")
-
-    def inner(step: int, axis: str, window):
-        shift = F.lag if step < 0 else F.lead
-        return F.coalesce(
-            (shift(axis).over(window) == F.col(axis) + step)
-            & (shift("label").over(window) == F.col("label")),
-            F.lit(False),
-        )
-
-    return (
-        labelled.withColumn("_up", inner(-1, "y", along_y) & inner(1, "y", along_y))
-        .withColumn("_side", inner(-1, "x", along_x) & inner(1, "x", along_x))
-        .filter(~(F.col("_up") & F.col("_side")))
-        .select(*PIXEL, "label")
-    )
+    rings, reach = _rings(distance), math.floor(distance)
+    side = max(TILE_SIDE, 4 * reach)
+
+    def tiles(axis: str):
+        away = F.when(F.col("label") != 0, F.lit(reach)).otherwise(0)
+        first, last = (F.floor((F.col(axis) + sign * away) / side).cast("int") for sign in (-1, 1))
+        return F.explode(F.sequence(first, last))
+
+    spread = labels.withColumn("tx", tiles("x")).withColumn("ty", tiles("y"))
+    fields = {f.name: f.dataType.simpleString() for f in labels.schema.fields}
+    schema = ", ".join(f"{c} {fields[c]}" for c in [*PIXEL, "label"]) + ", d2 int"
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        origin = np.array([pdf["tx"].iloc[0], pdf["ty"].iloc[0]]) * side - reach
+        at = pdf[["x", "y"]].to_numpy() - origin
+        value = pdf["label"].to_numpy()
+        board = np.zeros((side + 2 * reach, side + 2 * reach), dtype=np.int64)
+        board[at[:, 0], at[:, 1]] = value
+        free = np.flatnonzero(value == 0)
+        hits = []
+        for d2, offsets in rings:
+            if not len(free):
+                break
+            seen = np.stack([board[at[free, 0] + dx, at[free, 1] + dy] for dx, dy in offsets])
+            if nearest_only:
+                low = np.where(seen == 0, np.iinfo(np.int64).max, seen).min(axis=0)
+                found = (seen != 0).any(axis=0)
+                hits.append((free[found], low[found], np.full(found.sum(), d2)))
+                free = free[~found]
+            else:
+                which, pixel = np.nonzero(seen)
+                hits.append((free[pixel], seen[which, pixel], np.full(len(pixel), d2)))
+        if nearest_only or not hits:
+            rest = free if nearest_only else free[:0]
+            hits.append((rest, np.zeros(len(rest), np.int64), np.zeros(len(rest), int)))
+        rows, label, d2 = (np.concatenate([h[i] for h in hits]) for i in range(3))
+        out = pdf[PIXEL].iloc[rows].assign(label=label, d2=d2.astype("int32"))
+        return out.drop_duplicates([*PIXEL, "label"])  # rings come shortest first
+
+    return spread.groupBy("slice", "tx", "ty").applyInPandas(grow, schema)
 
 
 def expand_labels(labels: DataFrame, distance: float, max_area: int | None = None) -> DataFrame:
@@ -61,27 +93,13 @@ def expand_labels(labels: DataFrame, distance: float, max_area: int | None = Non
     """
     labels = materialise(labels.select(*PIXEL, "label"), "labels")
     labelled = labels.filter("label <> 0")
-    background = labels.filter("label = 0").select(*PIXEL)
-    offsets = _disc(distance)
-    disc = F.array(
-        *[
-            F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(d2).alias("d2"))
-            for dx, dy, d2 in offsets
-        ]
-    )
-    reached = (
-        _rim(labelled)
-        .select("*", F.inline(disc))
-        .select("slice", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), "label", "d2")
-    )
     if max_area is None:
-        best = reached.groupBy(*PIXEL).agg(F.min(F.struct("d2", "label")).alias("_best"))
-        grown = background.join(best, PIXEL).select(*PIXEL, F.col("_best.label").alias("label"))
-    else:
-        near = reached.groupBy(*PIXEL, "label").agg(F.min("d2").alias("d2"))
-        candidates = materialise(near.join(background, PIXEL, "left_semi"), "candidates")
-        grown = _grow_in_rings(labelled, candidates, sorted({o[2] for o in offsets}), max_area)
-    rest = background.join(grown, PIXEL, "left_anti").withColumn("label", F.lit(0).cast("long"))
+        return labelled.unionByName(_labels_in_reach(labels, distance, True).drop("d2"))
+    reached = materialise(_labels_in_reach(labels, distance, False), "reached")
+    grown = materialise(
+        _grow_in_rings(labelled, reached, [d2 for d2, _ in _rings(distance)], max_area), "grown"
+    )
+    rest = labels.filter("label = 0").join(grown.select(*PIXEL), PIXEL, "left_anti")
     return labelled.unionByName(grown).unionByName(rest)
 
 
