@@ -282,3 +282,16 @@ def test_label_file_is_sorted(spark):
     assert back.count() == 81
     got = [tuple(r) for r in back.filter("label = 2").collect()]
     assert got == sorted(got)
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    import os
+
+    from tissueloom.sources import storage
+
+    kept = storage.materialise(spark.range(3), "kept")
+    assert kept.count() == 3
+    folder = storage.scratch_dir(spark).removeprefix("file:")
+    assert folder.startswith(storage.shared_dir(spark).removeprefix("file:")) and os.listdir(folder)
+    storage.drop_scratch(spark)
+    assert not os.path.exists(folder)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tissueloom.functions.columns import draw_key
 from tissueloom.operators.neighbors import knn_join
+from tissueloom.operators.ranking import draw_threshold
 from tissueloom.sources.storage import materialise
 
 # Points sampled per slice, and the sampling grid.
@@ -19,8 +20,9 @@ def spatial_sample(
 ) -> DataFrame:
     """At most ``n`` space-filling points per slice: round-robin over grid squares.
 
-    No square can contribute more than ``n`` points, so the first ranking stops at ``n`` on the
-    map side and the second sees at most ``grid * grid * n`` rows per slice.
+    No square can contribute more than its first ``n`` points; they are cut off by a key
+    threshold before anything is shuffled, so the rankings see at most ``grid * grid * n`` rows
+    per slice.
     """
     box = materialise(
         cells.groupBy("slice").agg(
@@ -41,11 +43,16 @@ def spatial_sample(
         .withColumn("_key", draw_key(F.col("cell"), seed))
         .drop("_x0", "_x1", "_y0", "_y1")
     )
-    inside = Window.partitionBy("slice", "_gx", "_gy").orderBy("_key", "cell")
+    square_key = ["slice", "_gx", "_gy"]
+    cuts = materialise(
+        draw_threshold(keyed, square_key, "_key", F.least(F.col("n"), F.lit(n))), "cuts"
+    ).select(*square_key, "cut")
+    inside = Window.partitionBy(*square_key).orderBy("_key", "cell")
     across = Window.partitionBy("slice").orderBy("_turn", "_key", "cell")
     return (
-        keyed.withColumn("_turn", F.row_number().over(inside))
-        .filter(F.col("_turn") <= n)
+        keyed.join(cuts, square_key)
+        .filter("_key <= cut")
+        .withColumn("_turn", F.row_number().over(inside))
         .withColumn("_pos", F.row_number().over(across))
         .filter(F.col("_pos") <= n)
         .select(*cells.columns)

@@ -17,11 +17,11 @@ def group_sums(values: DataFrame, groups: DataFrame, by: Sequence[str] = ()) ->
 
     ``values``: ``cell, gene, value``; ``groups``: ``by…, cell, group``.
     """
-    # without a grouping column one constant stands in, so that all joins have a key
+    # without a grouping column a written constant stands in, so that all joins have a key
     keys = list(by) or ["_all"]
     if not by:
         groups = groups.withColumn("_all", F.lit(1))
-    sizes = groups.groupBy(*keys, "group").agg(F.count("*").alias("n"))
+    sizes = materialise(groups.groupBy(*keys, "group").agg(F.count("*").alias("n")), "sizes")
     sums = materialise(
         values.join(groups.select(*keys, "cell", "group"), "cell")
         .groupBy(*keys, "group", "gene")

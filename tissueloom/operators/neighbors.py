@@ -221,8 +221,10 @@ def knn_join(
     spark = base.sparkSession
     want = k + 1 if exclude_self else k
     as_vec = F.col(vec).cast("array<double>").alias("_v")
-    q = materialise(queries.select(*by, F.col(query_id).alias("_q"), as_vec), "queries")
-    b = materialise(base.select(*by, F.col(base_id).alias("_b"), as_vec, *carry), "base")
+    # everything starts in one cell; as a written column it stays an ordinary join key
+    one = F.lit(0).alias("_cell")
+    q = materialise(queries.select(*by, F.col(query_id).alias("_q"), as_vec, one), "queries")
+    b = materialise(base.select(*by, F.col(base_id).alias("_b"), as_vec, *carry, one), "base")
 
     copies = b.groupBy(*by, F.xxhash64("_v").alias("_h")).agg(F.count("*").alias("_n"))
     size = (
@@ -243,10 +245,10 @@ def knn_join(
         n_pivots = min(max_pivots, math.ceil(4 * size["rows"] / block_rows), max_cells // size["groups"])
     no_bound = F.lit(None).cast("double").alias("_bound")
     if n_pivots <= 1:
-        one = F.lit(0).alias("_cell")
-        found = _block_join(q.select("*", no_bound, one), b.select("*", one), by, want, carry, block_rows)
+        found = _block_join(q.select("*", no_bound), b, by, want, carry, block_rows)
         top = _best(found, by, want)
     else:
+        q, b = q.drop("_cell"), b.drop("_cell")
         picked = b.select("_v", F.md5(F.col("_b").cast("string")).alias("_key")).orderBy("_key").limit(n_pivots)
         pivots = np.unique(np.stack([np.asarray(r["_v"]) for r in picked.collect()]), axis=0)
         cells = materialise(_assign(b, pivots), "assigned")

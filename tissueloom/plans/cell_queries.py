@@ -67,19 +67,17 @@ def stratified_sample(spark, sf_dir):
 
 
 _KEY = "assay, pre_stage, nex_stage"
-_LINEAGE = (
-    _PAIRS
-    | _SAMPLE
-    | {
+def _lineage_sql(replicates: int) -> dict[str, str]:
+    return _PAIRS | _SAMPLE | {
         "pool": f"""SELECT {_KEY}, 'pre' AS day, cell_id, state, emb FROM pairs JOIN sample s USING (assay) WHERE s.stage = pre_stage
           UNION ALL SELECT {_KEY}, 'nex', cell_id, state, emb FROM pairs JOIN sample s USING (assay) WHERE s.stage = nex_stage""",
         "drawn": f"""SELECT * FROM (SELECT p.*, rep, row_number() OVER (PARTITION BY {_KEY}, rep
             ORDER BY md5(concat_ws('|', cell_id, rep, {SEED}))) AS pos, count(*) OVER (PARTITION BY {_KEY}, rep) AS n
-          FROM pool p, (SELECT unnest(range(1, {2 * REPLICATES} + 1)) AS rep)) WHERE pos <= round(n * 0.8::DOUBLE)""",
+          FROM pool p, (SELECT unnest(range(1, {2 * replicates} + 1)) AS rep)) WHERE pos <= round(n * 0.8::DOUBLE)""",
         "state_n": f"SELECT {_KEY}, rep, state, count(*) AS n FROM drawn WHERE day = 'pre' GROUP BY ALL",
         "reps": f"""SELECT *, CAST(least(5, min(smallest) OVER (PARTITION BY {_KEY} ORDER BY rep)) AS INTEGER) AS k FROM (
             SELECT {_KEY}, rep, min(n) AS smallest, row_number() OVER (PARTITION BY {_KEY} ORDER BY rep) AS idx
-            FROM state_n GROUP BY {_KEY}, rep HAVING min(n) >= 3) WHERE idx <= {REPLICATES}""",
+            FROM state_n GROUP BY {_KEY}, rep HAVING min(n) >= 3) WHERE idx <= {replicates}""",
         "near": f"""SELECT {_KEY}, rep, nex_state, pre_state FROM (
             SELECT q.assay, q.pre_stage, q.nex_stage, q.rep, q.state AS nex_state, b.state AS pre_state, r.k,
               row_number() OVER (PARTITION BY q.assay, q.pre_stage, q.nex_stage, q.rep, q.cell_id
@@ -96,7 +94,9 @@ _LINEAGE = (
         "edges": """SELECT assay, pre_stage || ':' || pre_state AS parent, nex_stage || ':' || nex_state AS child, prob
           FROM med WHERE round(prob, 12) >= 0.2::DOUBLE""",
     }
-)
+
+
+_LINEAGE = _lineage_sql(REPLICATES)
 
 
 def _prepared(spark, sf_dir):
@@ -163,7 +163,10 @@ def lineage_ancestor(spark, sf_dir):
     return r6(lineage.lineage_ancestor(edges), "prob")
 
 
-@query("lineage_sweep")
+@query(
+    "lineage_sweep",
+    with_ctes("SELECT * REPLACE (round(prob, 6) AS prob) FROM med", "sc_cells", extra=_lineage_sql(lineage.REPLICATES)),
+)
 def lineage_sweep(spark, sf_dir):
     """Every pair of every assay with the full number of replicates, kept apart by state."""
     return r6(lineage.lineage_median(_transitions(spark, sf_dir, lineage.REPLICATES)), "prob")
@@ -526,6 +529,23 @@ def pca(spark, sf_dir):
     return scores.select("cell", F.size("X_pca").alias("dims"), F.round(F.sqrt(square), 6).alias("norm"))
 
 
+@query(
+    "pca_norms",
+    """SELECT vec_id AS cell, round(sqrt(sum((v - m) * (v - m))), 6) AS norm FROM (
+         SELECT vec_id, v, avg(v) OVER (PARTITION BY i) AS m FROM (
+           SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS v FROM (
+             SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)))
+       GROUP BY vec_id""",
+)
+def pca_norms(spark, sf_dir):
+    """With all components kept, scores are a rotation: they have the length of the centred vector."""
+    cells = bind.vecs(spark, sf_dir, planted=False).select("cell", "vec")
+    width = cells.select(F.size("vec").alias("n")).first()["n"]
+    _, scores = reduce.fit_pca(cells, k=width)
+    square = F.aggregate("X_pca", F.lit(0.0), lambda a, v: a + v * v)
+    return scores.select("cell", F.round(F.sqrt(square), 6).alias("norm"))
+
+
 @query("n_components")
 def n_components(spark, sf_dir):
     """Components of the loading matrix that explain 90 % of its variance."""

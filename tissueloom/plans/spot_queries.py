@@ -58,6 +58,25 @@ def scan_cells(spark, sf_dir):
     )
 
 
+@query(
+    "scan_matrix",
+    with_ctes(
+        """SELECT slice, cell, x, y, area, n_genes, cnt FROM cells JOIN (SELECT slice, cell, count(*) AS n_genes,
+             sum(cnt) AS cnt FROM counts GROUP BY ALL) USING (slice, cell) WHERE slice <> 'L3-early_a_S01'""",
+        "cells", "counts",
+    ),
+)
+def scan_matrix(spark, sf_dir):
+    """Write the table set of the stacked matrix, read all slices but one back."""
+    path = fresh_path(spark, "matrix")
+    tables.write_matrix(path, cells=bind.cells(spark, sf_dir), counts=bind.counts(spark, sf_dir))
+    key = "slice string, cell bigint"
+    cells = tables.scan_matrix(spark, path, "cells", f"{key}, x double, y double, area bigint")
+    counts = tables.scan_matrix(spark, path, "counts", f"{key}, gene string, cnt bigint")
+    sums = counts.groupBy("slice", "cell").agg(F.count("*").alias("n_genes"), F.sum("cnt").alias("cnt"))
+    return cells.filter("slice <> 'L3-early_a_S01'").join(sums, ["slice", "cell"])
+
+
 @query("file_catalog", with_ctes("SELECT key, path FROM catalog", "catalog"))
 def file_catalog(spark, sf_dir):
     return names.file_catalog(bind.files(spark, sf_dir))

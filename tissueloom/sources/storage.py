@@ -27,9 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder inside the shared one."""
+    return f"{shared_dir(spark)}/tissueloom-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, tag: str = "table") -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A path in the scratch folder that nothing else uses."""
+    return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; call it once results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, tag: str = "step") -> DataFrame:

@@ -55,6 +55,21 @@ def write_by(df: DataFrame, path: str, *keys: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def write_matrix(path: str, **parts: DataFrame) -> None:
+    """Annotated matrix as a set of long tables (``cells``, ``genes``, ``counts``, ``vectors`` …).
+
+    One folder per table, partitioned by slice: reading one slice touches only its files, and
+    writing slices again replaces just those.
+    """
+    for name, part in parts.items():
+        write_by(part, f"{path}/{name}", "slice")
+
+
+def scan_matrix(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """One table of an annotated matrix; filters on ``slice`` prune folders."""
+    return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).csv(path, header=True)
 
