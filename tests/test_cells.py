@@ -326,3 +326,13 @@ def test_component_count(spark):
     share = np.linalg.svd(x - x.mean(0), compute_uv=False) ** 2
     want = int(np.argmax(np.cumsum(share / share.sum()) >= 0.9)) + 1
     assert reduce.n_components(cells).first()[0] == want
+
+
+def test_lineage_files_are_split_by_time_pair(spark, tmp_path):
+    data = [("RNA", 0, 1, 1, "n", "p", 0.5), ("RNA", 0, 2, 1, "n", "p", 0.25)]
+    df = spark.createDataFrame(
+        data, "assay string, pre_stage int, nex_stage int, rep int, nex_state string, pre_state string, prob double"
+    )
+    tables.write_lineage(df, lineage.lineage_median(df), str(tmp_path))
+    back = spark.read.parquet(str(tmp_path / "median" / "pre_stage=0" / "nex_stage=2"))
+    assert back.first().prob == 0.25

@@ -295,3 +295,35 @@ def test_scratch_tables_can_be_dropped(spark):
     assert folder.startswith(storage.shared_dir(spark).removeprefix("file:")) and os.listdir(folder)
     storage.drop_scratch(spark)
     assert not os.path.exists(folder)
+
+
+def test_lookup_files_and_exports(spark, tmp_path):
+    """Parameter, gene and tissue files are read with fixed schemas; one parameter row drives one slice."""
+    from tissueloom import api
+
+    (tmp_path / "para.csv").write_text(
+        "stage,slice,dilation_distance,amount,block_size,radius,otsu_class,otsu_index\n"
+        "E8-10h,E8-10h_a_S01,3,1.5,51,2,3,1\nE8-10h,E8-10h_a_S02,4,2,51,2,2,0\n"
+    )
+    params = api.scan_params(spark, str(tmp_path / "para.csv"))
+    cells = spark.createDataFrame([("E8-10h_a_S01", 1), ("E8-10h_a_S09", 2)], "slice string, cell bigint")
+    assert [(r.cell, r.otsu_class, r.otsu_index) for r in api.param_join(cells, params).collect()] == [(1, 3, 1)]
+    (tmp_path / "genes.tsv").write_text("symbol\tid\nnan\tFB1\n")
+    (tmp_path / "tissues.csv").write_text("gene_id,stage,tissue\nFB1,E8-10h,gut\n")
+    markers = spark.createDataFrame([(0, "nan"), (0, "x")], "group int, gene string")
+    got = api.gene_to_tissue(
+        markers,
+        api.scan_gene_map(spark, str(tmp_path / "genes.tsv")),
+        api.scan_tissue_map(spark, str(tmp_path / "tissues.csv")),
+        ["E8-10h"],
+    )
+    assert rows(got.select("gene", "gene_id", "tissue")) == [("nan", "FB1", "gut"), ("x", None, None)]
+    api.write_csv(got.select("gene", "tissue"), str(tmp_path / "out"))
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 2
+
+
+def test_extra_columns_in_spot_files_are_ignored(spark, tmp_path):
+    (tmp_path / "S1_bin1_final.gem.gz").write_bytes(
+        __import__("gzip").compress(b"geneID\tx\ty\tMIDCounts\tExonCount\ng\t1\t2\t3\t4\n")
+    )
+    assert rows(tables.scan_spots(spark, str(tmp_path))) == [("S1", "g", 1, 2, 3)]

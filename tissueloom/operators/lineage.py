@@ -116,7 +116,7 @@ def lineage_reps(
     pool = pre.select(*PAIR, *ids).unionByName(nex.select(*PAIR, *ids))
     keyed = _attempts(pool.select(*PAIR, "cell_id"), attempts, seed)
     take = F.round(F.col("n") * F.lit(1.0 - drop))
-    cuts = materialise(draw_threshold(keyed, [*PAIR, "rep"], "_key", take), "cuts")
+    cuts = materialise(draw_threshold(keyed, [*PAIR, "rep"], "_key", take, prefix=2), "cuts")
     kept = _attempts(pre.select(*PAIR, *ids), attempts, seed).join(
         cuts.select(*PAIR, "rep", "cut"), [*PAIR, "rep"]
     ).filter("_key <= cut")

@@ -17,11 +17,11 @@ from tissueloom.sources.storage import materialise
 
 
 def draw_threshold(
-    keyed: DataFrame, by: Sequence[str], key: str, take: Column, prefix: int = 2
+    keyed: DataFrame, by: Sequence[str], key: str, take: Column, prefix: int = 3
 ) -> DataFrame:
     """Per group, the hex key of the ``take``-th smallest row.
 
-    ``take`` is an expression over ``n``, the group size.  Rows with ``key <= cut`` are exactly
+    ``take`` is an expression over ``n``, the group size; ``prefix`` hex digits make the buckets.  Rows with ``key <= cut`` are exactly
     the ``take`` smallest ones, so the caller keeps them with a filter instead of a sort.
     Returns ``by…, n, take, cut``.
     """

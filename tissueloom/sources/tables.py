@@ -24,11 +24,10 @@ def scan_spots(spark: SparkSession, path: str, spread: int | None = None) -> Dat
     comes from a ``slice=`` folder, else from the file name.  A gzip file is read by one task;
     ``spread`` re-partitions after the scan.
     """
-    raw = spark.read.schema(f"{SPOT_SCHEMA}, slice string").csv(path, sep="\t", header=True)
+    raw = spark.read.schema(SPOT_SCHEMA).csv(path, sep="\t", header=True)
     name = F.regexp_replace(F.substring_index("_metadata.file_path", "/", -1), SPOT_SUFFIX, "")
-    spots = raw.select(
-        F.coalesce("slice", name).alias("slice"), "gene", "x", "y", "cnt"
-    )
+    from_folder = F.col("slice").cast("string") if "slice" in raw.columns else name
+    spots = raw.select(from_folder.alias("slice"), "gene", "x", "y", "cnt")
     return spots.repartition(spread) if spread else spots
 
 
@@ -70,6 +69,12 @@ def scan_matrix(spark: SparkSession, path: str, name: str, schema: str) -> DataF
     return spark.read.schema(schema).parquet(f"{path}/{name}")
 
 
+def write_lineage(transitions: DataFrame, median: DataFrame, path: str) -> None:
+    """All replicates and the medians, one folder per time pair."""
+    for name, part in (("replicates", transitions), ("median", median)):
+        write_by(part, f"{path}/{name}", "pre_stage", "nex_stage")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).csv(path, header=True)
 
