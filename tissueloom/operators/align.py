@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tissueloom.functions.columns import draw_key
 from tissueloom.operators.neighbors import knn_join
 from tissueloom.operators.ranking import draw_threshold
-from tissueloom.sources.storage import materialise
+from tissueloom.sources.storage import lookup_table, materialise
 
 # Points sampled per slice, and the sampling grid.
 N_SAMPLING = 2000
@@ -44,9 +44,8 @@ def spatial_sample(
         .drop("_x0", "_x1", "_y0", "_y1")
     )
     square_key = ["slice", "_gx", "_gy"]
-    cuts = materialise(
-        draw_threshold(keyed, square_key, "_key", F.least(F.col("n"), F.lit(n))), "cuts"
-    ).select(*square_key, "cut")
+    take = F.least(F.col("n"), F.lit(n))
+    cuts = lookup_table(draw_threshold(keyed, square_key, "_key", take).select(*square_key, "cut"), "cuts")
     inside = Window.partitionBy(*square_key).orderBy("_key", "cell")
     across = Window.partitionBy("slice").orderBy("_turn", "_key", "cell")
     return (

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tissueloom.functions.columns import draw_key
 from tissueloom.operators.neighbors import knn_join
 from tissueloom.operators.ranking import draw_threshold
-from tissueloom.sources.storage import materialise
+from tissueloom.sources.storage import lookup_table, materialise
 
 # Fixed values of the estimate.
 SAMPLE_SHARE = 0.2
@@ -53,7 +53,7 @@ def stratified_sample(
     by = list(by)
     keyed = cells.withColumn("_key", draw_key(F.col("cell_id"), seed))
     take = F.ceil(F.round(F.col("n") * F.lit(share), 9))
-    cut = materialise(draw_threshold(keyed, by, "_key", take), "cuts").select(*by, "cut")
+    cut = lookup_table(draw_threshold(keyed, by, "_key", take).select(*by, "cut"), "cuts")
     return keyed.join(cut, by).filter("_key <= cut").select(*cells.columns)
 
 
@@ -116,9 +116,11 @@ def lineage_reps(
     pool = pre.select(*PAIR, *ids).unionByName(nex.select(*PAIR, *ids))
     keyed = _attempts(pool.select(*PAIR, "cell_id"), attempts, seed)
     take = F.round(F.col("n") * F.lit(1.0 - drop))
-    cuts = materialise(draw_threshold(keyed, [*PAIR, "rep"], "_key", take, prefix=2), "cuts")
+    cuts = lookup_table(
+        draw_threshold(keyed, [*PAIR, "rep"], "_key", take, prefix=2).select(*PAIR, "rep", "cut"), "cuts"
+    )
     kept = _attempts(pre.select(*PAIR, *ids), attempts, seed).join(
-        cuts.select(*PAIR, "rep", "cut"), [*PAIR, "rep"]
+        cuts, [*PAIR, "rep"]
     ).filter("_key <= cut")
     states = materialise(kept.groupBy(*PAIR, "rep", "state").agg(F.count("*").alias("n")), "states")
     order = Window.partitionBy(*PAIR).orderBy("rep")
@@ -132,7 +134,7 @@ def lineage_reps(
         .withColumn("k", F.least(F.lit(k), smallest).cast("int"))
         .filter(F.col("idx") <= replicates)
     )
-    reps = materialise(accepted.join(cuts.select(*PAIR, "rep", "cut"), [*PAIR, "rep"]), "reps")
+    reps = lookup_table(accepted.join(cuts, [*PAIR, "rep"]), "reps")
     pairs = pre.select(*PAIR).distinct()
     short = pairs.join(reps.groupBy(*PAIR).count(), PAIR, "left").filter(
         F.coalesce("count", F.lit(0)) < replicates

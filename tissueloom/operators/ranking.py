@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tissueloom.sources.storage import materialise
+from tissueloom.sources.storage import lookup_table, materialise
 
 
 def draw_threshold(
@@ -39,7 +39,7 @@ def draw_threshold(
         .select(*by, "_bucket", "n", "take", "_need")
     )
     inside = keyed.select(*by, key, bucket.alias("_bucket")).join(
-        materialise(edge, "edge"), [*by, "_bucket"]
+        lookup_table(edge, "edge"), [*by, "_bucket"]
     )
     order = Window.partitionBy(*by).orderBy(key)
     return (

@@ -13,6 +13,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# rows up to which a narrow lookup table is sent to every executor (some 100 MB)
+LOOKUP_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,3 +53,14 @@ def materialise(df: DataFrame, tag: str = "step") -> DataFrame:
     path = fresh_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def lookup_table(df: DataFrame, tag: str = "lookup", max_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Written narrow table, hinted for broadcast only after its rows have been counted.
+
+    Meant for sides that meet a table exploded many times over, where falling just above the
+    optimizer's file-size threshold would shuffle the exploded rows.  Beyond ``max_rows`` the
+    plan is left to Catalyst.
+    """
+    table = materialise(df, tag)
+    return F.broadcast(table) if table.count() <= max_rows else table
