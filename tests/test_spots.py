@@ -179,7 +179,9 @@ def test_components_of_noise_a_comb_and_a_spiral(spark):
             x, y = x + dx, y + dy
     shift = -min(p[0] for p in spiral), -min(p[1] for p in spiral)
     spiral = {(a + shift[0], b + shift[1]) for a, b in spiral}
-    sets = {"noise": noise, "comb": comb, "spiral": spiral}
+    far = {(x - 100, y) for x, y in comb}  # tiles at negative rows too
+    wide = {(x, y) for x in range(200) for y in range(150) if rnd.random() < 0.6}
+    sets = {"noise": noise, "comb": comb, "spiral": spiral, "far": far, "wide": wide}
     df = spark.createDataFrame(
         [(s, *p) for s, pts in sets.items() for p in pts], "slice string, x int, y int"
     )

@@ -264,30 +264,61 @@ def connected_components(edges: DataFrame, by: list[str], max_rounds: int = 60)
     raise RuntimeError("components did not settle; raise max_rounds")
 
 
-def label_components(pixels: DataFrame) -> DataFrame:
-    """Label 4-connected foreground pixels; the label is the smallest ``x * width + y``.
-
-    Pixels of one raster row that touch become one run first (a window over one raster row), so
-    the graph has one node per run.
-    """
+def _tile_components(pixels: DataFrame) -> DataFrame:
+    """Components inside square tiles: ``slice, x, y, part``, the smallest ``x * width + y``."""
     width = materialise(
         pixels.groupBy("slice").agg((F.max("y") + 1).cast("long").alias("width")), "width"
     )
-    row = Window.partitionBy("slice", "x").orderBy("y")
-    island = Window.partitionBy("slice", "x", "_isle")
-    runs = materialise(
-        pixels.select(*PIXEL)
-        .withColumn("_isle", F.col("y") - F.row_number().over(row))
-        .withColumn("_start", F.min("y").over(island))
-        .join(width, "slice")
-        .select(*PIXEL, (F.col("x") * F.col("width") + F.col("_start")).alias("run")),
-        "runs",
+    tiled = pixels.select(*PIXEL).join(width, "slice").withColumns(
+        {f"t{c}": F.floor(F.col(c) / TILE_SIDE).cast("int") for c in ("x", "y")}
     )
-    above = runs.select("slice", (F.col("x") + 1).alias("x"), "y", F.col("run").alias("a"))
-    edges = runs.withColumnRenamed("run", "b").join(above, PIXEL).select("slice", "a", "b").distinct()
-    roots = materialise(connected_components(edges, ["slice"]), "roots").withColumnRenamed("node", "run")
-    return runs.join(roots, ["slice", "run"], "left").select(
-        *PIXEL, F.coalesce("root", "run").alias("label")
+
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf["x"].to_numpy(np.int64), pdf["y"].to_numpy(np.int64)
+        name = x * pdf["width"].iloc[0] + y
+        order = np.argsort(name)  # position in this order grows with the label
+        place = np.full((TILE_SIDE + 1, TILE_SIDE + 1), -1)
+        i, j = (x % TILE_SIDE)[order], (y % TILE_SIDE)[order]
+        place[i, j] = np.arange(len(order))
+        a = np.tile(np.arange(len(order)), 2)
+        b = np.concatenate([place[i + 1, j], place[i, j + 1]])
+        a, b = a[b >= 0], b[b >= 0]
+        low = np.arange(len(order))
+        while True:
+            best = np.minimum(low[a], low[b])
+            new = low.copy()
+            np.minimum.at(new, low[a], best)
+            np.minimum.at(new, low[b], best)
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        part = np.empty(len(order), np.int64)
+        part[order] = name[order][low]
+        return pdf[PIXEL].assign(part=part)
+
+    fields = {f.name: f.dataType.simpleString() for f in pixels.schema.fields}
+    schema = ", ".join(f"{c} {fields[c]}" for c in PIXEL) + ", part bigint"
+    return tiled.groupBy("slice", "tx", "ty").applyInPandas(label, schema)
+
+
+def label_components(pixels: DataFrame) -> DataFrame:
+    """Label 4-connected foreground pixels; the label is the smallest ``x * width + y``.
+
+    Tiles of bounded size are labelled first, so the graph that spans the cluster has one node
+    per component and tile, and edges only where a component crosses a tile border.
+    """
+    parts = materialise(_tile_components(pixels), "parts")
+    links = []
+    for axis in ("x", "y"):
+        edge = F.pmod(F.col(axis), F.lit(TILE_SIDE))
+        before = parts.filter(edge == TILE_SIDE - 1).withColumn(axis, F.col(axis) + 1)
+        after = parts.filter(edge == 0).withColumnRenamed("part", "b")
+        links.append(before.withColumnRenamed("part", "a").join(after, PIXEL).select("slice", "a", "b"))
+    joined = connected_components(links[0].unionByName(links[1]), ["slice"])
+    roots = materialise(joined.withColumnRenamed("node", "part"), "roots")
+    return parts.join(roots, ["slice", "part"], "left").select(
+        *PIXEL, F.coalesce("root", "part").alias("label")
     )
 
 
