@@ -149,7 +149,7 @@ def register_slices(
 
     def fit(links: DataFrame) -> DataFrame:
         points = links.join(a, ["pair", "src"]).join(b, ["pair", "dst"])
-        return materialise(rigid_fit(materialise(points, "links"), "pair"), "fit")
+        return materialise(rigid_fit(points, "pair"), "fit")
 
     steps, links = fit(mutual), materialise(mutual, "mutual")
     target = fixed.select("pair", "cell", F.array("x", "y").alias("vec"))

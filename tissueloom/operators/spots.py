@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueloom.functions.columns import (
@@ -15,6 +15,7 @@ from tissueloom.functions.columns import (
     filled_gene,
     gene_file_key,
     slice_z,
+    stage_token,
 )
 from tissueloom.sources.storage import materialise
 
@@ -132,8 +133,6 @@ def cell_props(labels: DataFrame) -> DataFrame:
 
 def slice_index(slices: DataFrame) -> DataFrame:
     """Position of each slice in name order, from 0 (one row per slice, so one small window)."""
-    from pyspark.sql import Window
-
     names = slices.select("slice").distinct()
     return names.select(
         "slice", (F.row_number().over(Window.orderBy("slice")) - 1).alias("slice_idx")
@@ -154,6 +153,4 @@ def gene_keys(spots: DataFrame) -> DataFrame:
 
 def param_join(cells: DataFrame, params: DataFrame) -> DataFrame:
     """Attach the parameter row of (stage, slice) to every cell; one row drives one slice."""
-    from tissueloom.functions.columns import stage_token
-
     return cells.withColumn("stage", stage_token(F.col("slice"))).join(params, ["stage", "slice"])

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tissueloom.operators import spots as sp
-from tissueloom.sources.storage import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -180,13 +179,16 @@ def rigid_points(spark, sf_dir) -> DataFrame:
 
 
 def turned_slices(spark, sf_dir) -> DataFrame:
-    """The same tissue in every slice, turned and shifted a little more from slice to slice."""
-    idx = materialise(sp.slice_index(spots(spark, sf_dir)), "index")
-    places = bins(spark, sf_dir, 5).select("slice", "cell", F.col("x").alias("px"), F.col("y").alias("py"))
-    return places.distinct().join(idx, "slice").selectExpr(
-        "slice", "cast(slice_idx AS int) AS slice_idx", "cell", "array(px, py) AS vec",
-        "cos(slice_idx / 20D) * px - sin(slice_idx / 20D) * py + 3 * slice_idx AS x",
-        "sin(slice_idx / 20D) * px + cos(slice_idx / 20D) * py - 2 * slice_idx AS y",
+    """The tissue of all slices together, seven times, each copy turned and shifted a little more."""
+    squares = clean(spark, sf_dir).selectExpr("x div 5 AS bx", "y div 5 AS b_y").distinct()
+    return (
+        squares.selectExpr("bx * 1000 + b_y AS cell", "(bx + 0.5D) * 5 AS px", "(b_y + 0.5D) * 5 AS py")
+        .select("*", F.explode(F.expr("sequence(0, 6)")).alias("slice_idx"))
+        .selectExpr(
+            "concat('turned_S', slice_idx) AS slice", "slice_idx", "cell", "array(px, py) AS vec",
+            "cos(slice_idx / 20D) * px - sin(slice_idx / 20D) * py + 3 * slice_idx AS x",
+            "sin(slice_idx / 20D) * px + cos(slice_idx / 20D) * py - 2 * slice_idx AS y",
+        )
     )
 
 
@@ -222,7 +224,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("pixels",),
     ),
     "image": (
-        """SELECT slice, x, y, CAST(least(sum(cnt), 10) * 255 // 10 AS INTEGER) AS value
+        """SELECT slice, x, y, CAST(least(sum(cnt)::BIGINT, 10) * 255 // 10 AS INTEGER) AS value
            FROM spots GROUP BY slice, x, y""",
         ("spots",),
     ),
@@ -234,7 +236,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "bin5": (
         """SELECT slice, CAST(floor(x / 5) AS INTEGER) AS bx, CAST(floor(y / 5) AS INTEGER) AS b_y, gene,
-             sum(cnt) AS cnt FROM clean GROUP BY ALL""",
+             sum(cnt)::BIGINT AS cnt FROM clean GROUP BY ALL""",
         ("clean",),
     ),
     "counts": (
@@ -247,9 +249,9 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("bin5",),
     ),
     "stats": (
-        """SELECT slice, cell, count(*) FILTER (cnt > 0) AS n_genes, sum(cnt) AS n_counts,
-             sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS mt_counts,
-             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / nullif(sum(cnt), 0) AS p_mito
+        """SELECT slice, cell, count(*) FILTER (cnt > 0) AS n_genes, sum(cnt)::BIGINT AS n_counts,
+             sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END)::BIGINT AS mt_counts,
+             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / nullif(sum(cnt)::BIGINT, 0) AS p_mito
            FROM counts GROUP BY slice, cell""",
         ("counts",),
     ),
@@ -259,9 +261,9 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("stats", "cells"),
     ),
     "good_genes": (
-        """SELECT slice, gene, count(*) FILTER (cnt > 0) AS n_cells, sum(cnt) AS n_counts
+        """SELECT slice, gene, count(*) FILTER (cnt > 0) AS n_cells, sum(cnt)::BIGINT AS n_counts
            FROM counts SEMI JOIN good_cells USING (slice, cell) GROUP BY slice, gene
-           HAVING count(*) FILTER (cnt > 0) >= 3 AND sum(cnt) >= 1""",
+           HAVING count(*) FILTER (cnt > 0) >= 3 AND sum(cnt)::BIGINT >= 1""",
         ("counts", "good_cells"),
     ),
     "kept": (
@@ -270,8 +272,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("counts", "good_cells", "good_genes"),
     ),
     "kept_stats": (
-        """SELECT slice, cell, count(*) FILTER (cnt > 0) AS n_genes, sum(cnt) AS n_counts,
-             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / nullif(sum(cnt), 0) AS p_mito
+        """SELECT slice, cell, count(*) FILTER (cnt > 0) AS n_genes, sum(cnt)::BIGINT AS n_counts,
+             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / nullif(sum(cnt)::BIGINT, 0) AS p_mito
            FROM kept GROUP BY slice, cell""",
         ("kept",),
     ),

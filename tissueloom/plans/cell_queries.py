@@ -315,10 +315,10 @@ _SWEEP = {
 _SWEEP = {k: _SWEEP[k] for k in ("gs", "rest", "mom", "tests", "ranked")}
 
 
-@query("marker_union", with_ctes("SELECT DISTINCT gene FROM ranked WHERE rank <= 3", "vals", "clusters", extra=_SWEEP))
+@query("marker_union", with_ctes("SELECT DISTINCT gene FROM ranked WHERE rank <= 20", "vals", "clusters", extra=_SWEEP))
 def marker_union(spark, sf_dir):
     top = markers.rank_markers(bind.values(spark, sf_dir), bind.clusters(spark, sf_dir), by=["resolution"])
-    return markers.marker_set(top, 3)
+    return markers.marker_set(top)
 
 
 @query(
@@ -505,13 +505,9 @@ def spatial_sample(spark, sf_dir):
 
 @query(
     "register_slices",
-    with_ctes(
-        f"""SELECT CAST(slice_idx AS INTEGER) AS slice_idx, {rd('-slice_idx / 20.0::DOUBLE', 5)} AS theta,
-              {rd('-(cos(a) * 3 * slice_idx + sin(a) * -2 * slice_idx)', 5)} AS tx,
-              {rd('-(-sin(a) * 3 * slice_idx + cos(a) * -2 * slice_idx)', 5)} AS ty
-            FROM (SELECT slice_idx, slice_idx / 20.0::DOUBLE AS a FROM slice_idx)""",
-        "slice_idx",
-    ),
+    f"""SELECT CAST(i AS INTEGER) AS slice_idx, {rd('-a', 5)} AS theta, {rd('-(cos(a) * 3 * i + sin(a) * -2 * i)', 5)} AS tx,
+          {rd('-(-sin(a) * 3 * i + cos(a) * -2 * i)', 5)} AS ty
+        FROM (SELECT i, i / 20.0::DOUBLE AS a FROM (SELECT unnest(range(0, 7)) AS i))""",
 )
 def register_slices(spark, sf_dir):
     """Slices turned by known angles: the exact inverse must come back."""

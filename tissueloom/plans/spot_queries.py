@@ -62,19 +62,19 @@ def scan_cells(spark, sf_dir):
     "scan_matrix",
     with_ctes(
         """SELECT slice, cell, x, y, area, n_genes, cnt FROM cells JOIN (SELECT slice, cell, count(*) AS n_genes,
-             sum(cnt) AS cnt FROM counts GROUP BY ALL) USING (slice, cell) WHERE slice <> 'L3-early_a_S01'""",
+             sum(cnt)::BIGINT AS cnt FROM counts GROUP BY ALL) USING (slice, cell)""",
         "cells", "counts",
     ),
 )
 def scan_matrix(spark, sf_dir):
-    """Write the table set of the stacked matrix, read all slices but one back."""
+    """Write the table set of the stacked matrix by slice and read it back."""
     path = fresh_path(spark, "matrix")
     tables.write_matrix(path, cells=bind.cells(spark, sf_dir), counts=bind.counts(spark, sf_dir))
     key = "slice string, cell bigint"
     cells = tables.scan_matrix(spark, path, "cells", f"{key}, x double, y double, area bigint")
     counts = tables.scan_matrix(spark, path, "counts", f"{key}, gene string, cnt bigint")
     sums = counts.groupBy("slice", "cell").agg(F.count("*").alias("n_genes"), F.sum("cnt").alias("cnt"))
-    return cells.filter("slice <> 'L3-early_a_S01'").join(sums, ["slice", "cell"])
+    return cells.join(sums, ["slice", "cell"])
 
 
 @query("file_catalog", with_ctes("SELECT key, path FROM catalog", "catalog"))
@@ -112,7 +112,7 @@ def slice_origin(spark, sf_dir):
 # --- projections -----------------------------------------------------------------------------
 
 
-@query("count_image", with_ctes("SELECT slice, x, y, sum(cnt) AS cnt FROM spots GROUP BY ALL", "spots"))
+@query("count_image", with_ctes("SELECT slice, x, y, sum(cnt)::BIGINT AS cnt FROM spots GROUP BY ALL", "spots"))
 def count_image(spark, sf_dir):
     return sp.count_image(bind.spots(spark, sf_dir))
 
@@ -133,7 +133,7 @@ def count_image_byte(spark, sf_dir):
            FROM (SELECT slice, x, unnest(range(y0, y1 + 1)) AS y FROM
                   (SELECT slice, y0, y1, unnest(range(x0, x1 + 1)) AS x FROM
                     (SELECT slice, min(x) x0, max(x) x1, min(y) y0, max(y) y1 FROM spots GROUP BY slice))) g
-           LEFT JOIN (SELECT slice, x, y, sum(cnt) AS cnt FROM spots GROUP BY ALL) i USING (slice, x, y)""",
+           LEFT JOIN (SELECT slice, x, y, sum(cnt)::BIGINT AS cnt FROM spots GROUP BY ALL) i USING (slice, x, y)""",
         "spots",
     ),
 )
@@ -151,7 +151,7 @@ def rebase_spots(spark, sf_dir):
 
 @query(
     "fill_gene",
-    with_ctes("SELECT slice, coalesce(gene, 'CG5842') AS gene, sum(cnt) AS cnt, count(*) AS n FROM spots GROUP BY 1, 2", "spots"),
+    with_ctes("SELECT slice, coalesce(gene, 'CG5842') AS gene, sum(cnt)::BIGINT AS cnt, count(*) AS n FROM spots GROUP BY 1, 2", "spots"),
 )
 def fill_gene(spark, sf_dir):
     return sp.fill_gene(bind.spots(spark, sf_dir)).groupBy("slice", "gene").agg(
@@ -260,7 +260,7 @@ def crop_spots(spark, sf_dir):
     "bin_spots",
     with_ctes(
         """SELECT slice, CAST(floor(x / 20) AS INTEGER) AS bx, CAST(floor(y / 20) AS INTEGER) AS "by",
-             (floor(x / 20) + 0.5::DOUBLE) * 20 AS x, (floor(y / 20) + 0.5::DOUBLE) * 20 AS y, gene, sum(cnt) AS cnt
+             (floor(x / 20) + 0.5::DOUBLE) * 20 AS x, (floor(y / 20) + 0.5::DOUBLE) * 20 AS y, gene, sum(cnt)::BIGINT AS cnt
            FROM clean GROUP BY slice, floor(clean.x / 20), floor(clean.y / 20), gene""",
         "clean",
     ),
@@ -272,10 +272,10 @@ def bin_spots(spark, sf_dir):
 @query(
     "bin_stats",
     with_ctes(
-        """SELECT slice, bx, "by", count(*) AS n_genes, sum(cnt) AS n_counts,
-             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / sum(cnt) AS p_mito
+        """SELECT slice, bx, "by", count(*) AS n_genes, sum(cnt)::BIGINT AS n_counts,
+             CAST(sum(CASE WHEN gene LIKE 'mt:%' THEN cnt ELSE 0 END) AS DOUBLE) / sum(cnt)::BIGINT AS p_mito
            FROM (SELECT slice, CAST(floor(x / 20) AS INTEGER) AS bx, CAST(floor(y / 20) AS INTEGER) AS "by", gene,
-                   sum(cnt) AS cnt FROM clean GROUP BY ALL) GROUP BY ALL""",
+                   sum(cnt)::BIGINT AS cnt FROM clean GROUP BY ALL) GROUP BY ALL""",
         "clean",
     ),
 )
@@ -302,7 +302,7 @@ def label_long(spark, sf_dir):
 @query(
     "cellbin_counts",
     with_ctes(
-        """SELECT slice, label AS cell, gene, sum(cnt) AS cnt FROM spots JOIN label_px USING (slice, x, y)
+        """SELECT slice, label AS cell, gene, sum(cnt)::BIGINT AS cnt FROM spots JOIN label_px USING (slice, x, y)
            WHERE label <> 0 GROUP BY slice, label, gene""",
         "spots", "label_px",
     ),
@@ -393,9 +393,9 @@ def qc_box(spark, sf_dir):
         """SELECT slice, count(*) AS n_cells, round(avg(area), 6) AS mean_area, median(area) AS median_area,
              round(avg(n_genes), 6) AS mean_n_genes, median(n_genes) AS median_n_genes,
              round(avg(n_counts), 6) AS mean_n_counts, median(n_counts) AS median_n_counts,
-             sum(n_counts) AS total_counts
+             sum(n_counts)::BIGINT AS total_counts
            FROM (SELECT slice, cell, area, coalesce(n_genes, 0) AS n_genes, coalesce(n_counts, 0) AS n_counts
-                 FROM props LEFT JOIN (SELECT slice, cell, count(DISTINCT gene) AS n_genes, sum(cnt) AS n_counts
+                 FROM props LEFT JOIN (SELECT slice, cell, count(DISTINCT gene) AS n_genes, sum(cnt)::BIGINT AS n_counts
                    FROM (SELECT slice, label AS cell, gene, cnt FROM filled JOIN label_px USING (slice, x, y))
                    GROUP BY slice, cell) USING (slice, cell)) GROUP BY slice""",
         "props", "spots",
@@ -413,9 +413,9 @@ _RESID = {
     "resid_tab": """SELECT g.slice, c.cell, g.gene, coalesce(k.cnt, 0) AS cnt,
         least(greatest((coalesce(k.cnt, 0) - c.r * g.s / t.t) / sqrt(c.r * g.s / t.t + (c.r * g.s / t.t) ** 2 / 100.0::DOUBLE),
           -sqrt(t.n)), sqrt(t.n)) AS resid
-      FROM (SELECT slice, gene, CAST(sum(cnt) AS DOUBLE) AS s FROM kept GROUP BY ALL) g
-      JOIN (SELECT slice, cell, CAST(sum(cnt) AS DOUBLE) AS r FROM kept GROUP BY ALL) c USING (slice)
-      JOIN (SELECT slice, CAST(sum(cnt) AS DOUBLE) AS t, count(DISTINCT cell) AS n FROM kept GROUP BY ALL) t USING (slice)
+      FROM (SELECT slice, gene, sum(cnt)::DOUBLE AS s FROM kept GROUP BY ALL) g
+      JOIN (SELECT slice, cell, sum(cnt)::DOUBLE AS r FROM kept GROUP BY ALL) c USING (slice)
+      JOIN (SELECT slice, sum(cnt)::DOUBLE AS t, count(DISTINCT cell) AS n FROM kept GROUP BY ALL) t USING (slice)
       LEFT JOIN kept k ON k.slice = g.slice AND k.cell = c.cell AND k.gene = g.gene"""
 }
 
@@ -445,10 +445,10 @@ def map_counts(spark, sf_dir):
 @query(
     "integrate",
     with_ctes(
-        """SELECT slice, gene, count(DISTINCT cell) AS n_cells, sum(cnt) AS cnt, count(area) AS with_area FROM (
+        """SELECT slice, gene, count(DISTINCT cell) AS n_cells, sum(cnt)::BIGINT AS cnt, count(area) AS with_area FROM (
              SELECT slice, cell, gene, cnt, NULL AS area FROM counts
              UNION ALL SELECT slice || '_cellbin', label, gene, cnt, area FROM
-               (SELECT slice, label, gene, sum(cnt) AS cnt FROM spots JOIN label_px USING (slice, x, y)
+               (SELECT slice, label, gene, sum(cnt)::BIGINT AS cnt FROM spots JOIN label_px USING (slice, x, y)
                 WHERE label <> 0 GROUP BY ALL) JOIN props p USING (slice) WHERE p.cell = label)
            GROUP BY slice, gene""",
         "counts", "props", "spots",
