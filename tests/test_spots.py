@@ -134,7 +134,8 @@ def _expand(grid, distance, cap=None):
 
 
 @pytest.mark.parametrize("distance,cap", [(2, None), (5, None), (4, None), (3, 12), (2, 4)])
-def test_expand_labels(spark, distance, cap):
+def test_expand_labels(spark, monkeypatch, distance, cap):
+    monkeypatch.setattr(pixels, "TILE_SIDE", 6)  # many tile borders
     rnd = random.Random(3)
     seeds = {(rnd.randrange(14), rnd.randrange(14)): rnd.randrange(1, 6) for _ in range(14)}
     seeds |= {(x, y): 9 for x in range(4, 8) for y in range(4, 8)}
@@ -167,7 +168,9 @@ def _components(points):
     return label
 
 
-def test_components_of_noise_a_comb_and_a_spiral(spark):
+@pytest.mark.parametrize("side", [16, 256])
+def test_components_of_noise_a_comb_and_a_spiral(spark, monkeypatch, side):
+    monkeypatch.setattr(pixels, "TILE_SIDE", side)
     rnd = random.Random(1)
     noise = {(x, y) for x in range(30) for y in range(30) if rnd.random() < 0.58}
     comb = {(0, y) for y in range(25)} | {(x, y) for x in range(20) for y in range(0, 25, 2)}

@@ -18,8 +18,8 @@ CLIP_LIMIT = 7
 LEVELS = 256
 
 
-# side of the square tiles in which labels grow (more when the distance is large)
-TILE_SIDE = 64
+# side of the square tiles in which labels grow (more when the distance is large) and connect
+TILE_SIDE = 256
 
 
 def _rings(distance: float) -> list[tuple[int, list[tuple[int, int]]]]:
