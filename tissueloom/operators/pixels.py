@@ -17,7 +17,6 @@ TILE_GRID = 10
 CLIP_LIMIT = 7
 LEVELS = 256
 
-
 # side of the square tiles in which labels grow (more when the distance is large) and connect
 TILE_SIDE = 256
 
@@ -40,8 +39,8 @@ def _labels_in_reach(labels: DataFrame, distance: float, nearest_only: bool) ->
     The raster is cut into square tiles; a labelled pixel also goes to the neighbouring tiles it
     can reach into, a background pixel only to its own.  So each pixel is shuffled once (and a
     few more times near borders) instead of once per offset of the disc, and a task holds one
-    tile of bounded size.  ``nearest_only``: one row per background pixel, with the nearest label (ties
-    to the smaller one) or 0.
+    tile of bounded size.  ``nearest_only``: one row per background pixel, with the nearest
+    label (ties to the smaller one) or 0.
     """
     rings, reach = _rings(distance), math.floor(distance)
     side = max(TILE_SIDE, 4 * reach)
