@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import regex
@@ -17,14 +18,13 @@ from pyspark.sql import DataFrame
 
 from tissueloom.llm.common import map_texts
 
-#: Encoded pre-tokens that a task remembers; a pre-token longer than this many bytes is not kept.
+#: Encoded pre-tokens that a worker remembers from task to task; a pre-token longer than this many bytes is not kept.
 MEMORY, LONGEST_KEPT = 800_000, 64
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes and their rank, one base64 pair a line."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+def read_ranks(raw: bytes) -> dict[bytes, int]:
+    """Token bytes and their rank from the content of a rank file: one base64 pair a line."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
 
 
 class RankQueue:
@@ -138,6 +138,12 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+@lru_cache(maxsize=1)
+def encoder(raw: bytes, pattern: str) -> Encoder:
+    """One per Python worker: pre-tokens it has met serve the worker's next tasks."""
+    return Encoder(read_ranks(raw), pattern)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, if wanted) for every document.
 
@@ -145,10 +151,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: b
     A null text is the empty text: no ids, the hashes of nothing.  Repeated rows give repeated
     results, an empty table an empty result; other columns are not looked at.  Texts are never cut.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    with open(ranks_path, "rb") as f:
+        shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def build():
-        coder = Encoder(shared.value, pattern)
+        coder = encoder(shared.value, pattern)
         names = coder.text_of.__getitem__
 
         def work(texts):

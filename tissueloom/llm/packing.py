@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from tissueloom.sources.storage import materialise
 
 #: Tokens in a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
-#: Chunks whose ids a task remembers; a chunk longer than this many characters is not kept.
-MEMORY, LONGEST_KEPT = 600_000, 64
+#: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
+MEMORY, LONGEST_KEPT = 1_000_000, 64
 #: Pieces of one (length, bucket) group that are numbered together.
 GROUP_ROWS = 50_000
 
@@ -85,23 +86,26 @@ class ChunkTokenizer:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known = self.known
+        get = self.known.get
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        fresh: set[str] = set()
-        for chunks in split:
-            fresh.update(chunks)
-        fresh.difference_update(known)
-        once = self._fresh(fresh) if fresh else {}
-        if len(known) + len(once) > MEMORY:
-            once.update((c, known[c]) for chunks in split for c in chunks if c in known)
-            known.clear()
-            known[""] = b""
-        long = {c: ids for c, ids in once.items() if len(c) > LONGEST_KEPT}
-        known.update(once)
-        out = [b"".join([known[c] for c in chunks]) for chunks in split]
-        for c in long:
-            del known[c]
-        return out
+        found = [list(map(get, chunks)) for chunks in split]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        if lacking:
+            fresh = {c for i in lacking for c, ids in zip(split[i], found[i]) if ids is None}
+            once = self._fresh(fresh)
+            for i in lacking:
+                found[i] = [once[c] if ids is None else ids for c, ids in zip(split[i], found[i])]
+            if len(self.known) + len(once) > MEMORY:
+                self.known.clear()
+                self.known[""] = b""
+            self.known.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
+        return [b"".join(ids) for ids in found]
+
+
+@lru_cache(maxsize=1)
+def chunk_tokenizer(spec: str) -> ChunkTokenizer:
+    """One per Python worker: what it has learnt serves the worker's next tasks."""
+    return ChunkTokenizer(spec)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -114,7 +118,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        chunks = ChunkTokenizer(shared.value)
+        chunks = chunk_tokenizer(shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 rows: tuple[list, ...] = ([], [], [], [], [], [])
