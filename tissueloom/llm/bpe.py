@@ -12,6 +12,7 @@ import base64
 import hashlib
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from tissueloom.llm.common import map_texts
 
 #: Encoded pre-tokens that a worker remembers from task to task; a pre-token longer than this many bytes is not kept.
-MEMORY, LONGEST_KEPT = 800_000, 64
+MEMORY, LONGEST_KEPT = 1_500_000, 64
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -27,58 +28,24 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
 
 
-class RankQueue:
-    """Buckets of positions by rank below a three-level bitmap (64 x 64 x 64 ranks and more)."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        buckets = self.buckets
-        if rank in buckets:
-            heappush(buckets[rank], position)
-            return
-        buckets[rank] = [position]
-        a = rank >> 6
-        word = self.low[a]
-        self.low[a] = word | 1 << (rank & 63)
-        if not word:
-            b = rank >> 12
-            self.mid[b] |= 1 << (a & 63)
-            self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int]:
-        """Lowest rank and its leftmost position; the queue must not be empty."""
-        top, mid, low = self.top, self.mid, self.low
-        b = (top & -top).bit_length() - 1
-        word = mid[b]
-        a = (b << 6) + (word & -word).bit_length() - 1
-        word = low[a]
-        bit = word & -word
-        rank = (a << 6) + bit.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        low[a] = word = word ^ bit
-        if not word:
-            mid[b] = word = mid[b] & ~(1 << (a & 63))
-            if not word:
-                self.top = top & (top - 1)
-        return rank, bucket[0]
+BIT = [1 << k for k in range(64)]
 
 
 class Encoder:
-    """Encodes pre-tokens by ranks and decodes ids."""
+    """Encodes pre-tokens by ranks and decodes ids.
+
+    The queue's state is the bitmap (``low``: one bit per rank, ``mid``: one per word of ``low``, and
+    a local ``top``: one per word of ``mid``) and the buckets, heaps of positions.  It is empty
+    between pre-tokens.  Its steps stand inside ``merge``, as calls would cost more than they do.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.text_of = {r: str(r) for r in ranks.values()}
-        self.queue = RankQueue(max(ranks.values(), default=0))
+        most = max(ranks.values(), default=0)
+        self.low, self.mid = [0] * ((most >> 6) + 1), [0] * ((most >> 12) + 1)
+        self.buckets: dict[int, list[int]] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
@@ -87,33 +54,66 @@ class Encoder:
         whole = found(piece)
         if whole is not None:
             return (whole,)
-        size, queue = len(piece), self.queue
-        push, pop = queue.push, queue.pop
-        # node i covers bytes i .. after[i]; a node that was swallowed has after[i] == 0
-        after, before = list(range(1, size + 1)), list(range(-1, size))
+        low, mid, buckets, top, bit = self.low, self.mid, self.buckets, 0, BIT
+        size = len(piece)
+        # node i covers bytes i .. after[i]; pair[i] is the rank of the pair that starts there, or -1
+        after, before, pair = list(range(1, size + 1)), list(range(-1, size)), [-1] * size
         for i in range(size - 1):
             rank = found(piece[i : i + 2])
-            if rank is not None:
-                push(rank, i)
-        while queue.top:
-            rank, i = pop()
+            if rank is None:
+                continue
+            pair[i] = rank
+            if rank in buckets:
+                buckets[rank].append(i)  # ascending, so still a heap
+                continue
+            buckets[rank] = [i]
+            a = rank >> 6
+            if not low[a]:
+                mid[a >> 6] |= bit[a & 63]
+                top |= bit[a >> 6]
+            low[a] |= bit[rank & 63]
+        while top:
+            b = (top & -top).bit_length() - 1
+            word = mid[b]
+            a = (b << 6) + (word & -word).bit_length() - 1
+            word = low[a]
+            rank = (a << 6) + (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[a] = word = word & (word - 1)
+                if not word:
+                    mid[b] = word = mid[b] & (mid[b] - 1)
+                    if not word:
+                        top &= top - 1
+            if pair[i] != rank:
+                continue  # stale
             j = after[i]
-            if not j or j == size:
-                continue  # stale: swallowed, or nothing follows any more
-            end = after[j]
-            if found(piece[i:end]) != rank:
-                continue  # stale: the pair has changed
-            after[i], after[j] = end, 0
+            end = after[i] = after[j]
+            pair[j] = -1
             if end < size:
                 before[end] = i
-                rank = found(piece[i : after[end]])
-                if rank is not None:
-                    push(rank, i)
-            left = before[i]
-            if left >= 0:
-                rank = found(piece[left:end])
-                if rank is not None:
-                    push(rank, left)
+            for k in (i, before[i]):
+                if k < 0:
+                    continue
+                middle = after[k]
+                rank = found(piece[k : after[middle]]) if middle < size else None
+                if rank is None:
+                    pair[k] = -1
+                    continue
+                pair[k] = rank
+                if rank in buckets:
+                    heappush(buckets[rank], k)
+                    continue
+                buckets[rank] = [k]
+                a = rank >> 6
+                if not low[a]:
+                    mid[a >> 6] |= bit[a & 63]
+                    top |= bit[a >> 6]
+                low[a] |= bit[rank & 63]
         ids, i = [], 0
         while i < size:
             end = after[i]
@@ -122,17 +122,20 @@ class Encoder:
         return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
-        known, ids = self.known, []
-        for word in self.split(text):
-            own = known.get(word)
-            if own is None:
-                own = self.merge(word.encode("utf-8"))
-                if len(word) <= LONGEST_KEPT:
-                    if len(known) >= MEMORY:
-                        known.clear()
-                    known[word] = own
-            ids += own
-        return ids
+        words = self.split(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            once: dict[str, tuple[int, ...]] = {}
+            for k, ids in enumerate(found):
+                if ids is None:
+                    word = words[k]
+                    if word not in once:
+                        once[word] = self.merge(word.encode("utf-8"))
+                    found[k] = once[word]
+            if len(self.known) + len(once) > MEMORY:
+                self.known.clear()
+            self.known.update((w, ids) for w, ids in once.items() if len(w) <= LONGEST_KEPT)
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

@@ -8,6 +8,7 @@ each length and looks their place up in the patterns; pieces never meet in one t
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass, field
@@ -42,6 +43,7 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {"": b""}
+        self._marks: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -65,24 +67,25 @@ class ChunkTokenizer:
         return out
 
     def _fresh(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not known yet."""
-        parts: dict[str, tuple[str, str]] = {}  # chunk -> word of letters, and what follows it
-        others = []
+        """Ids of chunks that are not known yet, and of the words in them."""
+        known, marks = self.known, ".,!?;:"
+        parts, others = [], []
         for c in chunks:
-            word, tail = (c[:-1], c[-1]) if c[-1] in ".,!?;:" else (c, "")
-            if word.isalpha():
-                parts[c] = (word.lower() if word.isascii() else word, tail)
+            if c.isalpha():
+                parts.append((c, c.lower() if c.isascii() else c, ""))
+            elif c[-1] in marks and (word := c[:-1]).isalpha():
+                parts.append((c, word.lower() if word.isascii() else word, c[-1]))
             else:
                 others.append(c)
+        wanted = {w for _, w, _ in parts}
+        ids = self._words([w for w in wanted if w not in known])
+        tails = self._marks
+        if not tails:
+            tails.update(zip(["", *marks], [b"", *self._ids(list(marks))]))
         out = dict(zip(others, self._ids(others))) if others else {}
-        known = self.known
-        words = {w for w, _ in parts.values() if w not in known} | {t for _, t in parts.values() if t and t not in known}
-        marks = [w for w in words if not w.isalpha()]
-        ids = self._words([w for w in words if w.isalpha()]) | (dict(zip(marks, self._ids(marks))) if marks else {})
-        for c, (word, tail) in parts.items():
-            own = ids[word] if word in ids else known[word]
-            out[c] = own + (ids[tail] if tail in ids else known[tail])
-        return out | ids
+        for c, word, tail in parts:
+            out[c] = (ids[word] if word in ids else known[word]) + tails[tail]
+        return ids | out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -105,6 +108,7 @@ class ChunkTokenizer:
 @lru_cache(maxsize=1)
 def chunk_tokenizer(spec: str) -> ChunkTokenizer:
     """One per Python worker: what it has learnt serves the worker's next tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return ChunkTokenizer(spec)
 
 
