@@ -49,3 +49,22 @@ r AS (
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND len(bad) = 0 AS kept, array_to_string(bad, ',') AS failed FROM r"""
+
+NEAR_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWERED.format("coalesce(text, '')")}, '[ \\t\\n\\x0b\\f\\r]+'),
+    lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+linked AS (
+  SELECT a, b FROM links JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT a, b FROM linked UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a),
+least AS (SELECT a AS doc_id, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id,
+  coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = least.doc_id"""

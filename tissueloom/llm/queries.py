@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tissueloom.llm import bpe, language, lines, packing, quality
+from tissueloom.llm import bpe, language, lines, packing, quality, sketch
 from tissueloom.llm.common import table
-from tissueloom.llm.oracles import QUALITY_SQL, LINES_SQL
+from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op4(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op6_minhash_near_dedup", NEAR_SQL)
+def op6(spark, sf_dir):
+    return sketch.linked_components(table(spark, sf_dir, "documents"), percent=85)
+
+
 @query("op7_line_dedup", LINES_SQL)
 def op7(spark, sf_dir):
     done = lines.dedup_lines(table(spark, sf_dir, "documents"))
