@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tissueloom.llm import bpe, language, lines, packing, quality, sketch
+from tissueloom.llm import bpe, language, lines, packing, pii, quality, sketch
 from tissueloom.llm.common import table
 from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL
 
@@ -25,6 +25,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op2_pii_semi_markov")
+def op2(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query("op3_language_id")
 def op3(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
