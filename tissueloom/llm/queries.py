@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tissueloom.llm import bpe, language, lines, packing, pii, quality, sketch
+from tissueloom.llm import bpe, language, lines, mtree, packing, pages, pii, quality, sketch, toxicity
 from tissueloom.llm.common import table
-from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL
+from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL, TOP_SQL
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_toxicity_chain")
+def op1(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_pii_semi_markov")
 def op2(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
@@ -40,6 +46,11 @@ def op4(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op5_mtree_top_k", TOP_SQL)
+def op5(spark, sf_dir):
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_minhash_near_dedup", NEAR_SQL)
 def op6(spark, sf_dir):
     return sketch.linked_components(table(spark, sf_dir, "documents"), percent=85)
@@ -51,6 +62,11 @@ def op7(spark, sf_dir):
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_style_tree_text")
+def op8(spark, sf_dir):
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op9_best_fit_packing")
 def op9(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -61,3 +77,8 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
