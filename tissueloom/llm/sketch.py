@@ -5,10 +5,9 @@ round's hash and the cell keeps the smallest (round, value); cells filled in an
 changed by later ones.  Rounds go on until every cell is filled; from round ``COORDINATES`` on, a round
 throws all shingles into one fixed cell, so twice that many rounds always fill the sketch.
 
-Bands of the sketch give buckets.  Inside a bucket a few rounds test one member of each component found so
-far against the bucket's hub (a star, not all pairs) and join what is linked; then every pair of
-members that are still in different components is tested.  A test first compares sketches, with a
-margin of ``MARGIN`` standard deviations, and then the full shingle sets.
+Bands of the sketch give buckets.  The members of a bucket meet with their full shingle sets in one task,
+which finds all exact links among them and returns only the edges of a spanning forest: a group of
+thousands of near copies never becomes pairs of rows.
 """
 
 from __future__ import annotations
@@ -22,8 +21,8 @@ from pyspark.sql import functions as F
 from tissueloom.llm.common import map_texts, mix, slices
 from tissueloom.sources.storage import materialise
 
-#: Words in a shingle, cells of a sketch, cells in a band, standard deviations of the sketch filter, star rounds.
-WORDS, COORDINATES, BAND, MARGIN, STAR_ROUNDS = 5, 128, 4, 7.0, 2
+#: Words in a shingle, cells of a sketch, cells in a band, members of a bucket that meet in one piece.
+WORDS, COORDINATES, BAND, BLOCK = 5, 160, 5, 2_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,69 +124,107 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.select("node", F.col("next").alias("label"))
 
 
-class Verifier:
-    """Tests pairs of representatives: sketches first, then whole shingle sets.
+def forest(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Edges that span the components of all exact links among the sets, as positions in ``items``.
 
-    ``nodes``: ``rep, doc, set_id, n_shingles, cells``; the sets of all of them are computed once.
+    Intersections come from a 0/1 matrix of the elements that two or more sets hold, some columns at a time.
     """
+    m = len(items)
+    size = np.array([len(x) for x in items])
+    if m == 2:
+        shared = len(np.intersect1d(items[0], items[1], assume_unique=True))
+        return [(0, 1)] if 100 * shared >= percent * (size.sum() - shared) else []
+    value = np.concatenate(items)
+    order = np.argsort(value, kind="stable")
+    value, who = value[order], np.repeat(np.arange(m), size)[order]
+    starts = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+    count = np.diff(np.r_[starts, len(value)])
+    held = np.repeat(count > 1, count)
+    column = np.repeat(np.cumsum(count > 1) - 1, count)[held]
+    who, shared = who[held], np.zeros((m, m), np.float32)
+    step = max(1, 8_000_000 // m)
+    for low in range(0, int((count > 1).sum()), step):
+        a, b = np.searchsorted(column, [low, low + step])
+        part = np.zeros((m, min(step, int(column[-1]) + 1 - low)), np.float32)
+        part[who[a:b], column[a:b] - low] = 1
+        shared += part @ part.T
+    linked = 100.0 * shared >= percent * (size[:, None] + size - shared.astype(np.float64))
+    todo, edges = np.ones(m, bool), []
+    while todo.any():
+        front = np.flatnonzero(todo)[:1]
+        todo[front] = False
+        while len(front):
+            near = linked[front] & todo
+            new = np.flatnonzero(near.any(axis=0))
+            edges += zip(front[near[:, new].argmax(axis=0)].tolist(), new.tolist())
+            todo[new] = False
+            front = new
+    return edges
+
+
+def bucket_links(docs: DataFrame, reps: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: edges that span, bucket by bucket, all exact links of documents that share a bucket.
+
+    Buckets with the same members are looked at once.  A bucket of more than ``BLOCK`` members is cut into
+    blocks that meet pairwise, each meeting a task's work of its own, so a bucket of any size is whole.
+    """
+    member = F.xxhash64("rep")
+    keys = bands.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(9))).alias("y")
+    ).filter("n > 1")
+    keys = keys.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    members = materialise(bands.join(keys, "key"), "members")
+    wanted = materialise(
+        members.select("rep").distinct().join(reps.select("rep", F.col("doc").alias("doc_id"), "set_id"), "rep"), "wanted"
+    )
+    sets = materialise(_sets(docs.join(wanted, "doc_id")), "sets")
+    # block i of a bucket takes part in the meetings (i, j) and (j, i)
+    own = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks"))
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(j, own) * F.col("blocks") + F.greatest(j, own)
+    )
+    groups = members.select("rep", "key", F.explode(meets).alias("meeting"))
+    rows = groups.join(sets, "rep").select("key", "meeting", "rep", "items")
+    rows = rows.repartition("key", "meeting").sortWithinPartitions("key", "meeting", "rep")
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int):
-        self.nodes, self.percent = nodes, percent
-        share = percent / 100
-        self.least_votes = int(
-            np.floor(COORDINATES * share - MARGIN * np.sqrt(COORDINATES * share * (1 - share)))
-        )
-        wanted = nodes.select("rep", F.col("doc").alias("doc_id"), "set_id")
-        self.sets = materialise(self._sets(docs.join(wanted, "doc_id")), "sets")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` (a < b) that are linked."""
-        likely = self._by_sketch(pairs)
-        left = self.sets.select(F.col("rep").alias("a"), F.col("items").alias("x"))
-        right = self.sets.select(F.col("rep").alias("b"), F.col("items").alias("y"))
-        both = likely.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        percent = self.percent
-
-        def verify(batches):
-            for batch in batches:
-                xs, ys = batch.column("x"), batch.column("y")
-                ok = []
-                for i in range(batch.num_rows):
-                    x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (xs, ys))
-                    union = len(np.union1d(x, y))
-                    ok.append(100 * (len(x) + len(y) - union) >= percent * union)
-                out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
-                yield out.filter(pa.array(ok, pa.bool_()))
-
-        return materialise(both.mapInArrow(verify, "a bigint, b bigint"), "links")
-
-    def _by_sketch(self, pairs: DataFrame) -> DataFrame:
-        own = self.nodes.select("rep", "n_shingles", "cells")
-        left = own.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("cells").alias("ca"))
-        right = own.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("cells").alias("cb"))
-        size = F.expr(f"100 * least(na, nb) >= {self.percent} * greatest(na, nb)")
-        votes = F.aggregate(
-            F.zip_with("ca", "cb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v
-        )
-        return pairs.join(left, "a").join(right, "b").filter(size).filter(votes >= self.least_votes).select("a", "b")
-
-    @staticmethod
-    def _sets(texts: DataFrame) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    items = [shingles(t) for t in part.column("text").to_pylist()]
-                    same = [
-                        xxhash.xxh3_128_digest(x.tobytes()) == s
-                        for x, s in zip(items, part.column("set_id").to_pylist())
-                    ]  # rows that share a doc_id but not the text
-                    out = pa.RecordBatch.from_arrays(
-                        [part.column("rep"), pa.array([x.tobytes() for x in items], pa.binary())], names=["rep", "items"]
-                    )
-                    yield out.filter(pa.array(same, pa.bool_()))
-
-        found = texts.select("rep", "text", "set_id").mapInArrow(run, "rep bigint, items binary")
-        return found.dropDuplicates(["rep"])
+    def run(batches):
+        now, ids, items = None, [], []
+        found: tuple[list, list] = ([], [])
+
+        def close():
+            for i, j in forest(items, percent) if len(items) > 1 else ():
+                found[0].append(ids[i])
+                found[1].append(ids[j])
+
+        for batch in batches:
+            data = batch.column("items")
+            for k, group in enumerate(zip(batch.column("key").to_pylist(), batch.column("meeting").to_pylist())):
+                if group != now:
+                    close()
+                    now, ids, items = group, [], []
+                ids.append(batch.column("rep")[k].as_py())
+                items.append(np.frombuffer(data[k].as_py(), np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+            found = ([], [])
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+    return materialise(rows.mapInArrow(run, "a bigint, b bigint").distinct(), "links")
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """``rep, items``: the sorted shingle hashes of each wanted text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                items = [shingles(t).tobytes() for t in part.column("text").to_pylist()]
+                # rows that share a doc_id but not the text are not the wanted one
+                same = [xxhash.xxh3_128_digest(x) == s for x, s in zip(items, part.column("set_id").to_pylist())]
+                out = pa.RecordBatch.from_arrays([part.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
+                yield out.filter(pa.array(same, pa.bool_()))
+
+    return texts.select("rep", "text", "set_id").mapInArrow(run, "rep bigint, items binary").dropDuplicates(["rep"])
 
 
 def _relabel(base: DataFrame, links: DataFrame) -> DataFrame:
@@ -218,34 +255,11 @@ def linked_components(docs: DataFrame, percent: int) -> DataFrame:
         ).select("rep", "s.*"),
         "reps",
     )
-    bands = _bands(reps)
-    counted = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    bands = materialise(bands.join(counted, "key", "left_semi"), "bands")
-    nodes = materialise(reps.join(bands.select("rep").distinct(), "rep", "left_semi"), "nodes")
-    check = Verifier(docs, nodes, percent)
+    bands = materialise(_bands(reps), "bands")
+    links = bucket_links(docs, reps, bands, percent)
     # texts of one document belong together
     texts = usable.groupBy("doc_id").agg(F.collect_set("rep").alias("r")).filter("size(r) > 1")
-    links = materialise(
-        texts.select(F.array_min("r").alias("a"), F.explode("r").alias("b")).filter("a <> b"), "links"
-    )
-    state = _relabel(reps, links)
-    for _ in range(STAR_ROUNDS):
-        placed = materialise(
-            bands.join(state, "rep").groupBy("key", "label").agg(F.min("rep").alias("rep")), "placed"
-        )
-        hubs = placed.groupBy("key").agg(F.min_by("rep", "label").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-        pairs = placed.join(hubs, "key").filter("rep <> hub").select(
-            F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")
-        ).distinct()
-        links = links.unionByName(check.links(pairs))
-        state = materialise(_relabel(reps, links), "state")
-    # what is still apart: every pair of members of a bucket in different components
-    placed = bands.join(state, "rep")
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    left = materialise(placed.join(mixed, "key", "left_semi"), "mixed")
-    other = left.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
-    pairs = left.withColumnRenamed("rep", "a").join(other, "key").filter("a < b and label <> lb").select("a", "b").distinct()
-    links = links.unionByName(check.links(pairs))
+    links = links.unionByName(texts.select(F.array_min("r").alias("a"), F.explode("r").alias("b")).filter("a <> b"))
     state = materialise(_relabel(reps, links).join(reps.select("rep", "doc"), "rep"), "state")
     named = state.select("rep", "label").join(
         state.groupBy("label").agg(F.min("doc").alias("least")), "label"
