@@ -177,7 +177,8 @@ def bucket_links(docs: DataFrame, reps: DataFrame, bands: DataFrame, percent: in
     wanted = materialise(
         members.select("rep").distinct().join(reps.select("rep", F.col("doc").alias("doc_id"), "set_id"), "rep"), "wanted"
     )
-    sets = materialise(_sets(docs.join(wanted, "doc_id")), "sets")
+    # the same join at every size: the wanted documents are a share of all
+    sets = materialise(_sets(docs.join(wanted.hint("merge"), "doc_id")), "sets")
     # block i of a bucket takes part in the meetings (i, j) and (j, i)
     own = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks"))
     meets = F.transform(
