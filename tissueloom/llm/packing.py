@@ -26,7 +26,7 @@ from tissueloom.sources.storage import materialise
 #: Tokens in a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
 #: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
-MEMORY, LONGEST_KEPT = 1_000_000, 64
+MEMORY, LONGEST_KEPT = 1_800_000, 64
 #: Pieces of one (length, bucket) group that are numbered together.
 GROUP_ROWS = 50_000
 
