@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import ctypes
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -40,6 +40,14 @@ def slices(batch: pa.RecordBatch, text: str):
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Hand memory that a task has freed back to the system: a worker lives on for other work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(
     docs: DataFrame, keep: Sequence[str], outputs: str, build: Callable[[], Callable], text: str = "text"
 ) -> DataFrame:
@@ -61,6 +69,7 @@ def map_texts(
                 for v, field in zip(values, list(arrow)[len(keep) :], strict=True):
                     columns.append(v if isinstance(v, pa.Array) else pa.array(v, field.type))
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        release()
 
     return src.mapInArrow(run, schema)
 
@@ -83,6 +92,7 @@ def rewrite(docs: DataFrame, build: Callable[[], Callable], text: str = "text")
                     columns[names.index(text)] = pa.array(changed, pa.string())
                 out = pa.RecordBatch.from_arrays(columns, schema=arrow)
                 yield out if mask is None else out.filter(pa.array(mask, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -103,10 +113,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def stable(word: bytes) -> int:
-    return zlib.crc32(word)
-
-
 def bounded_sample(df: DataFrame, key, rows: int) -> DataFrame:
     """About ``rows`` rows (all, if fewer), chosen by a hash of ``key``: no order, no shuffle.
 

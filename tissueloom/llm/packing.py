@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_right
 from dataclasses import dataclass, field
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tissueloom.llm.common import slices
+from tissueloom.llm.common import release, slices
 from tissueloom.sources.storage import materialise
 
 #: Tokens in a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
 #: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
-MEMORY, LONGEST_KEPT = 1_800_000, 64
+MEMORY, LONGEST_KEPT = 1_390_000, 64
 #: Pieces of one (length, bucket) group that are numbered together.
 GROUP_ROWS = 50_000
 
@@ -71,10 +72,13 @@ class ChunkTokenizer:
         known, marks = self.known, ".,!?;:"
         parts, others = [], []
         for c in chunks:
-            if c.isalpha():
-                parts.append((c, c.lower() if c.isascii() else c, ""))
-            elif c[-1] in marks and (word := c[:-1]).isalpha():
-                parts.append((c, word.lower() if word.isascii() else word, c[-1]))
+            word, tail = (c[:-1], c[-1]) if c[-1] in marks else (c, "")
+            if not word.isalpha():
+                others.append(c)
+            elif word.isascii():
+                parts.append((c, word.lower(), tail))
+            elif normalize("NFC", word).lower().isalpha():  # still letters as the tokenizer sees it
+                parts.append((c, word, tail))
             else:
                 others.append(c)
         wanted = {w for _, w, _ in parts}
@@ -108,6 +112,7 @@ class ChunkTokenizer:
 @lru_cache(maxsize=1)
 def chunk_tokenizer(spec: str) -> ChunkTokenizer:
     """One per Python worker: what it has learnt serves the worker's next tasks."""
+    release()
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return ChunkTokenizer(spec)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tissueloom.llm.common import SPACES, table  # noqa: F401
+from tissueloom.llm.common import SPACES
 
 WORD_BREAK = "[ \t-\r]+"
 #: Words in a window, words that a text needs, percent of words in repeated windows that it may have.

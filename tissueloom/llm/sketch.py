@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueloom.llm.common import map_texts, mix, slices
+from tissueloom.llm.common import map_texts, mix, release, slices
 from tissueloom.sources.storage import materialise
 
 #: Words in a shingle, cells of a sketch, cells in a band, members of a bucket that meet in one piece.
@@ -208,6 +208,7 @@ def bucket_links(docs: DataFrame, reps: DataFrame, bands: DataFrame, percent: in
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
             found = ([], [])
         close()
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
 
     return materialise(rows.mapInArrow(run, "a bigint, b bigint").distinct(), "links")
@@ -224,6 +225,7 @@ def _sets(texts: DataFrame) -> DataFrame:
                 same = [xxhash.xxh3_128_digest(x) == s for x, s in zip(items, part.column("set_id").to_pylist())]
                 out = pa.RecordBatch.from_arrays([part.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
                 yield out.filter(pa.array(same, pa.bool_()))
+        release()
 
     return texts.select("rep", "text", "set_id").mapInArrow(run, "rep bigint, items binary").dropDuplicates(["rep"])
 

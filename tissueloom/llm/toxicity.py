@@ -21,7 +21,7 @@ from tissueloom.llm.common import bounded_sample, map_texts
 FEATURES, TRAIN_ROWS, FOLDS, STEPS, MEMORY = 1 << 16, 6_000, 3, 60, 300_000
 STEMS = (4, 5, 6)
 #: Documents and standard errors a bucket needs to get a weight; ridge penalty.
-MIN_DOCS, MIN_Z, RIDGE = 5, 5.0, 1e-4
+MIN_DOCS, MIN_Z, RIDGE = 5, 4.0, 1e-4
 #: Categories in chain order, as SQL over the label columns.
 CATEGORIES = {"poor": "quality = 0", "toxic": "toxic = 1"}
 
@@ -153,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEG
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, threshold: float = 0.5
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, threshold: float = 0.6
 ) -> DataFrame:
     """``doc_id``, ``p_<category>`` per category and ``toxic`` for every document.
 
