@@ -332,3 +332,12 @@ def test_extra_columns_in_spot_files_are_ignored(spark, tmp_path):
         __import__("gzip").compress(b"geneID\tx\ty\tMIDCounts\tExonCount\ng\t1\t2\t3\t4\n")
     )
     assert rows(tables.scan_spots(spark, str(tmp_path))) == [("S1", "g", 1, 2, 3)]
+
+
+def test_residuals_of_zero_sums(spark):
+    from tissueloom.operators.normalize import pearson_resid
+
+    rows = [("a", 1, "g", 3), ("a", 1, "h", 0), ("a", 2, "g", 0), ("a", 2, "h", 0), ("b", 1, "g", 0)]
+    counts = spark.createDataFrame(rows, "slice string, cell bigint, gene string, cnt bigint")
+    got = {(r.slice, r.cell, r.gene): r.resid for r in pearson_resid(counts).collect()}
+    assert len(got) == 5 and all(v == 0 for k, v in got.items())

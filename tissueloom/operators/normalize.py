@@ -81,10 +81,11 @@ def dense_counts(counts: DataFrame) -> DataFrame:
 def pearson_resid(counts: DataFrame, theta: float = 100.0) -> DataFrame:
     """Negative-binomial Pearson residuals per slice, clipped to +-sqrt(cells).
 
-    Raw count and residual stay side by side in one dense long table.
+    Raw count and residual stay side by side in one dense long table.  Where a cell, a gene or a
+    slice sums to zero nothing is expected, and the residual is 0.
     """
-    mu = F.col("cell_sum") * F.col("gene_sum") / F.col("total")
-    z = (F.col("cnt") - mu) / F.sqrt(mu + mu * mu / F.lit(float(theta)))
+    mu = F.try_divide(F.col("cell_sum") * F.col("gene_sum"), F.col("total"))
+    z = F.coalesce(F.try_divide(F.col("cnt") - mu, F.sqrt(mu + mu * mu / F.lit(float(theta)))), F.lit(0.0))
     limit = F.sqrt("n_cells")
     return dense_counts(counts).select(
         *CELL, "gene", "cnt", F.greatest(F.least(z, limit), -limit).alias("resid")
