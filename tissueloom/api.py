@@ -32,6 +32,7 @@ from tissueloom.operators.lineage import (  # noqa: F401
     lineage_median,
     lineage_transitions,
     lineage_wide,
+    pair_prospects,
     stratified_sample,
     time_pairs,
 )

@@ -89,11 +89,46 @@ def pair_pool(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pre.select(*PAIR, *fields), nex.select(*PAIR, *fields)
 
 
-def _attempts(cells: DataFrame, attempts: int, seed: int) -> DataFrame:
-    rep = F.explode(F.sequence(F.lit(1), F.lit(attempts))).alias("rep")
+def _attempts(cells: DataFrame, first: int, last: int, seed: int) -> DataFrame:
+    rep = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("rep")
     return cells.select("*", rep).withColumn("_key", draw_key(F.col("cell_id"), F.col("rep"), seed))
 
 
+def pair_prospects(
+    pre: DataFrame, nex: DataFrame, drop: float = DROP_SHARE, min_cell: int = MIN_CELL
+) -> DataFrame:
+    """``PAIR…, n, take, possible``: can any draw of the pair ever be accepted?
+
+    A draw keeps ``take`` of the pair's ``n`` cells; every earlier state must keep no cell or at
+    least ``min_cell``, and one state must keep some.  With ``i`` states kept the draw holds at
+    least ``i * min_cell`` cells and at most the later cells plus the ``i`` largest states, and
+    every number between can be reached.
+    """
+    states = pre.groupBy(*PAIR, "state").agg(F.count("*").alias("size"))
+    later = nex.groupBy(*PAIR).agg(F.count("*").alias("later"))
+    whole = states.groupBy(*PAIR).agg(F.sum("size").alias("earlier"))
+    total = (
+        whole.join(later, PAIR, "left")
+        .select(*PAIR, F.coalesce("later", F.lit(0)).alias("later"), "earlier")
+        .withColumn("n", F.col("later") + F.col("earlier"))
+        .withColumn("take", F.round(F.col("n") * F.lit(1.0 - drop)).cast("long"))
+    )
+    order = Window.partitionBy(*PAIR).orderBy(F.desc("size"), "state")
+    most = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    fits = (
+        states.filter(F.col("size") >= min_cell)
+        .withColumn("least", F.row_number().over(order) * min_cell)
+        .withColumn("most", most)
+        .join(total, PAIR)
+        .filter((F.col("take") >= F.col("least")) & (F.col("take") <= F.col("most") + F.col("later")))
+        .select(*PAIR, F.lit(True).alias("_fits"))
+        .distinct()
+    )
+    return total.join(fits, PAIR, "left").select(
+        *PAIR, "n", "take", F.coalesce("_fits", F.lit(False)).alias("possible")
+    )
+
+
 def lineage_reps(
     pre: DataFrame,
     nex: DataFrame,
@@ -108,41 +143,50 @@ def lineage_reps(
     """Accepted replicates (``PAIR…, rep, cut, k``) and their earlier-state sizes.
 
     An attempt is dropped when its smallest earlier state has fewer than ``min_cell`` cells;
-    ``k`` shrinks to the smallest state size and, with ``sticky_k``, never grows back.  Raises
-    when the attempts do not suffice.
+    ``k`` shrinks to the smallest state size and, with ``sticky_k``, never grows back.  Attempt
+    numbers are drawn in batches, the first of ``attempts`` (default: ``replicates``), the next
+    ones twice as large and only for the pairs still short, until every pair is served; the
+    result does not depend on the batches.  Pairs that can never be served (``pair_prospects``)
+    get no replicate.
     """
-    attempts = 2 * replicates if attempts is None else attempts
     ids = ["cell_id", "state"]
     pool = pre.select(*PAIR, *ids).unionByName(nex.select(*PAIR, *ids))
-    keyed = _attempts(pool.select(*PAIR, "cell_id"), attempts, seed)
     take = F.round(F.col("n") * F.lit(1.0 - drop))
-    cuts = lookup_table(
-        draw_threshold(keyed, [*PAIR, "rep"], "_key", take, prefix=2).select(*PAIR, "rep", "cut"), "cuts"
-    )
-    kept = _attempts(pre.select(*PAIR, *ids), attempts, seed).join(
-        cuts, [*PAIR, "rep"]
-    ).filter("_key <= cut")
-    states = materialise(kept.groupBy(*PAIR, "rep", "state").agg(F.count("*").alias("n")), "states")
     order = Window.partitionBy(*PAIR).orderBy("rep")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     smallest = F.min("smallest").over(upto) if sticky_k else F.col("smallest")
-    accepted = (
-        states.groupBy(*PAIR, "rep")
-        .agg(F.min("n").alias("smallest"))
-        .filter(F.col("smallest") >= min_cell)
-        .withColumn("idx", F.row_number().over(order))
-        .withColumn("k", F.least(F.lit(k), smallest).cast("int"))
-        .filter(F.col("idx") <= replicates)
-    )
-    reps = lookup_table(accepted.join(cuts, [*PAIR, "rep"]), "reps")
-    pairs = pre.select(*PAIR).distinct()
-    short = pairs.join(reps.groupBy(*PAIR).count(), PAIR, "left").filter(
-        F.coalesce("count", F.lit(0)) < replicates
+    wanted = materialise(
+        pair_prospects(pre, nex, drop, min_cell).filter("possible").select(*PAIR), "pairs"
     )
-    missing = [tuple(r) for r in short.limit(5).collect()]
-    if missing:
-        raise ValueError(f"too few accepted replicates (pair, accepted): {missing}")
-    return reps, states
+    first, size = 1, attempts or replicates
+    cuts, states, short = None, None, wanted
+    while True:
+        last = first + size - 1
+        keyed = _attempts(pool.join(short, PAIR, "left_semi").select(*PAIR, "cell_id"), first, last, seed)
+        new_cuts = lookup_table(
+            draw_threshold(keyed, [*PAIR, "rep"], "_key", take, prefix=2).select(*PAIR, "rep", "cut"), "cuts"
+        )
+        early = pre.join(short, PAIR, "left_semi").select(*PAIR, *ids)
+        kept = _attempts(early, first, last, seed).join(
+            new_cuts, [*PAIR, "rep"]
+        ).filter("_key <= cut")
+        drawn = materialise(kept.groupBy(*PAIR, "rep", "state").agg(F.count("*").alias("n")), "states")
+        cuts = new_cuts if cuts is None else cuts.unionByName(new_cuts)
+        states = drawn if states is None else states.unionByName(drawn)
+        accepted = (
+            states.groupBy(*PAIR, "rep")
+            .agg(F.min("n").alias("smallest"))
+            .filter(F.col("smallest") >= min_cell)
+            .withColumn("idx", F.row_number().over(order))
+            .withColumn("k", F.least(F.lit(k), smallest).cast("int"))
+            .filter(F.col("idx") <= replicates)
+        )
+        reps = materialise(accepted.join(cuts, [*PAIR, "rep"]), "reps")
+        served = reps.groupBy(*PAIR).count().filter(F.col("count") >= replicates)
+        short = materialise(wanted.join(served, PAIR, "left_anti"), "pairs")
+        if short.isEmpty():
+            return lookup_table(reps, "reps"), states
+        first, size = last + 1, 2 * size
 
 
 def lineage_counts(
