@@ -57,8 +57,11 @@ def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.DoubleType())
-def hypergeom_tail(total: pd.Series, marked: pd.Series, drawn: pd.Series, hits: pd.Series) -> pd.Series:
-    """P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them count."""
+def log_hypergeom_tail(total: pd.Series, marked: pd.Series, drawn: pd.Series, hits: pd.Series) -> pd.Series:
+    """ln P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them count.
+
+    Kept as a logarithm, as the probability itself can be too small for a double.
+    """
 
     def ln_choose(n: int, k: int) -> float:
         return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -66,8 +69,11 @@ def hypergeom_tail(total: pd.Series, marked: pd.Series, drawn: pd.Series, hits:
     def tail(n: int, m: int, d: int, h: int) -> float:
         low, high = max(h, d + m - n, 0), min(m, d)
         whole = ln_choose(n, d)
-        terms = (math.exp(ln_choose(m, i) + ln_choose(n - m, d - i) - whole) for i in range(low, high + 1))
-        return min(math.fsum(terms), 1.0)
+        terms = [ln_choose(m, i) + ln_choose(n - m, d - i) - whole for i in range(low, high + 1)]
+        if not terms:
+            return -math.inf
+        top = max(terms)
+        return min(top + math.log(math.fsum(math.exp(t - top) for t in terms)), 0.0)
 
     rows = zip(total, marked, drawn, hits)
     return pd.Series([tail(int(n), int(m), int(d), int(h)) for n, m, d, h in rows], dtype=float)

@@ -13,55 +13,69 @@ from tissueloom.sources.storage import materialise
 
 
 def group_sums(values: DataFrame, groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``by…, group, gene, n, s1, s2``: one pass over the values; absent values count as zero.
+    """``by…, group, gene, n, s1, m2``: one pass over the values; absent values count as zero.
 
-    ``values``: ``cell, gene, value``; ``groups``: ``by…, cell, group``.
+    ``values``: ``cell, gene, value``; ``groups``: ``by…, cell, group``.  Where both tables have a
+    ``slice``, a cell is named by (slice, cell).  ``m2`` is the sum of squares around the group's
+    mean, taken without the difference of two large sums.
     """
+    cell = [c for c in ("slice", "cell") if c in values.columns and c in groups.columns and c not in by]
     # without a grouping column a written constant stands in, so that all joins have a key
     keys = list(by) or ["_all"]
     if not by:
         groups = groups.withColumn("_all", F.lit(1))
     sizes = materialise(groups.groupBy(*keys, "group").agg(F.count("*").alias("n")), "sizes")
     sums = materialise(
-        values.join(groups.select(*keys, "cell", "group"), "cell")
+        values.join(groups.select(*keys, *cell, "group"), [*cell, *(c for c in by if c in values.columns)])
         .groupBy(*keys, "group", "gene")
-        .agg(F.sum("value").alias("s1"), F.sum(F.col("value") * F.col("value")).alias("s2")),
+        .agg(
+            F.sum("value").alias("s1"),
+            F.count("value").alias("_c"),
+            (F.var_pop("value") * F.count("value")).alias("m2"),
+        ),
         "sums",
     )
     # every group gets every gene, also one that is zero throughout the group
     listed = sums.groupBy(*keys).agg(F.collect_set("gene").alias("_genes"))
     frame = sizes.join(listed, keys).select(*keys, "group", "n", F.explode("_genes").alias("gene"))
-    full = frame.join(sums, [*keys, "group", "gene"], "left").fillna(0.0, ["s1", "s2"])
+    full = frame.join(sums, [*keys, "group", "gene"], "left").fillna(0.0, ["s1", "m2"]).fillna(0, ["_c"])
+    # the stored values and the zeros are two samples; merge their moments
+    zeros = F.expr("coalesce(try_divide(s1 * s1, _c) * (n - _c) / n, 0D)")
+    full = full.withColumn("m2", F.col("m2") + zeros).drop("_c")
     return full if by else full.drop("_all")
 
 
 def welch(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Group against all other cells, from the group sums alone."""
+    """Group against all other cells, from the group moments alone.
+
+    The moments of the others are merged around the mean of all cells, so values far from zero
+    lose no digits.
+    """
     by = list(by)
     total = Window.partitionBy(*by, "gene")
     both = (
         sums.withColumn("n1", F.col("n"))
         .withColumn("n2", F.sum("n").over(total) - F.col("n"))
-        .withColumn("r1", F.sum("s1").over(total) - F.col("s1"))
-        .withColumn("r2", F.sum("s2").over(total) - F.col("s2"))
-        .withColumn("m1", F.col("s1") / F.col("n1"))
-        .withColumn("m2", F.expr("try_divide(r1, n2)"))
-        .withColumn("v1", F.expr("greatest(try_divide(s2 - n1 * m1 * m1, n1 - 1), 0D)"))
-        .withColumn("v2", F.expr("greatest(try_divide(r2 - n2 * m2 * m2, n2 - 1), 0D)"))
-        .withColumn("e1", F.col("v1") / F.col("n1"))
-        .withColumn("e2", F.expr("try_divide(v2, n2)"))
+        .withColumn("mean1", F.col("s1") / F.col("n1"))
+        .withColumn("off", F.col("mean1") - F.sum("s1").over(total) / F.sum("n").over(total))
+        .withColumn("off2", F.expr("try_divide(-n1 * off, n2)"))  # mean of the others, same origin
+        .withColumn("mean2", F.col("mean1") - F.col("off") + F.col("off2"))
+        .withColumn("between", F.sum(F.expr("n1 * off * off")).over(total) - F.expr("n1 * off * off"))
+        .withColumn("rest", F.sum("m2").over(total) - F.col("m2") + F.expr("between - n2 * off2 * off2"))
+        .withColumn("e1", F.expr("try_divide(greatest(m2, 0D), n1 - 1) / n1"))
+        .withColumn("e2", F.expr("try_divide(try_divide(greatest(rest, 0D), n2 - 1), n2)"))
     )
-    fold = F.expr("try_divide(exp(m1) - 1 + 1e-9D, exp(m2) - 1 + 1e-9D)")
+    fold = F.expr("try_divide(exp(mean1) - 1 + 1e-9D, exp(mean2) - 1 + 1e-9D)")
     return both.select(
         *by,
         "group",
         "gene",
-        F.expr("coalesce(try_divide(m1 - m2, sqrt(e1 + e2)), 0D)").alias("score"),
+        F.expr("coalesce(try_divide(off - off2, sqrt(e1 + e2)), 0D)").alias("score"),
         F.when(fold > 0, F.log2(fold)).alias("logfc"),
         F.expr(
             "try_divide((e1 + e2) * (e1 + e2), try_divide(e1 * e1, n1 - 1) + try_divide(e2 * e2, n2 - 1))"
         ).alias("df"),
-        F.col("m1").alias("mean"),
+        F.col("mean1").alias("mean"),
     )
 
 
@@ -103,26 +117,31 @@ def marker_set(markers: DataFrame, n: int = 20) -> DataFrame:
 
 
 def heatmap_table(
-    markers: DataFrame, sums: DataFrame, n_genes: int = 10, low: float = 0.3, high: float = 3.0
+    markers: DataFrame,
+    sums: DataFrame,
+    n_genes: int = 10,
+    low: float = 0.3,
+    high: float = 3.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Clipped mean of every group for the top genes of any group."""
-    genes = marker_set(markers, n_genes)
-    return sums.join(genes, "gene", "left_semi").select(
-        "group", "gene", clipped(F.col("s1") / F.col("n"), low, high).alias("value")
+    """Clipped mean of every group for the top genes of any group (of the same ``by``)."""
+    genes = markers.filter(F.col("rank") <= n_genes).select(*by, "gene").distinct()
+    return sums.join(genes, [*by, "gene"], "left_semi").select(
+        *by, "group", "gene", clipped(F.col("s1") / F.col("n"), low, high).alias("value")
     )
 
 
-def group_corr(sums: DataFrame) -> DataFrame:
-    """Pearson correlation of mean profiles for every unordered pair of groups."""
+def group_corr(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pearson correlation of mean profiles for every unordered pair of groups (of one ``by``)."""
     profile = materialise(
-        sums.select("group", "gene", (F.col("s1") / F.col("n")).alias("m")), "profile"
+        sums.select(*by, "group", "gene", (F.col("s1") / F.col("n")).alias("m")), "profile"
     )
-    a = profile.select(F.col("group").alias("group_a"), "gene", F.col("m").alias("ma"))
-    b = profile.select(F.col("group").alias("group_b"), "gene", F.col("m").alias("mb"))
+    a = profile.select(*by, F.col("group").alias("group_a"), "gene", F.col("m").alias("ma"))
+    b = profile.select(*by, F.col("group").alias("group_b"), "gene", F.col("m").alias("mb"))
     return (
-        a.join(b, "gene")
+        a.join(b, [*by, "gene"])
         .filter("group_a < group_b")
-        .groupBy("group_a", "group_b")
+        .groupBy(*by, "group_a", "group_b")
         .agg(F.corr("ma", "mb").alias("corr"))
         .withColumn("distance", 1 - F.col("corr"))
     )

@@ -223,7 +223,7 @@ def tile_cdf(pixels: DataFrame, grid: int = TILE_GRID, limit: float = CLIP_LIMIT
     return tiled.join(materialise(hist, "levels"), [*tile, "level"]).select(*PIXEL, "level", "value")
 
 
-def connected_components(edges: DataFrame, by: list[str], max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, by: list[str]) -> DataFrame:
     """Smallest node id of every node's component, as ``by…, node, root``.
 
     ``edges``: ``by…, a, b``.  Alternates two min-steps (every node hands its larger neighbours
@@ -237,7 +237,7 @@ def connected_components(edges: DataFrame, by: list[str], max_rounds: int = 60)
         "links",
     )
     state = None
-    for _ in range(max_rounds):
+    while True:
         both = edges.select(
             *by, F.inline(F.array(F.struct(F.col("u").alias("u"), F.col("v").alias("v")),
                                   F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
@@ -260,21 +260,31 @@ def connected_components(edges: DataFrame, by: list[str], max_rounds: int = 60)
             roots = edges.select(*by, F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return stars.unionByName(roots)
         state = now
-    raise RuntimeError("components did not settle; raise max_rounds")
 
 
 def _tile_components(pixels: DataFrame) -> DataFrame:
-    """Components inside square tiles: ``slice, x, y, part``, the smallest ``x * width + y``."""
-    width = materialise(
-        pixels.groupBy("slice").agg((F.max("y") + 1).cast("long").alias("width")), "width"
+    """Components inside square tiles: ``slice, x, y, part``, the smallest label of a pixel.
+
+    Frames that reach below zero are counted from their lowest x and y, so that labels are unique
+    and not negative.
+    """
+    low_y = F.least(F.min("y"), F.lit(0)).cast("long")
+    frame = materialise(
+        pixels.groupBy("slice").agg(
+            F.least(F.min("x"), F.lit(0)).cast("long").alias("low_x"),
+            low_y.alias("low_y"),
+            (F.max("y") + 1 - low_y).cast("long").alias("width"),
+        ),
+        "frame",
     )
-    tiled = pixels.select(*PIXEL).join(width, "slice").withColumns(
+    tiled = pixels.select(*PIXEL).join(frame, "slice").withColumns(
         {f"t{c}": F.floor(F.col(c) / TILE_SIDE).cast("int") for c in ("x", "y")}
     )
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf["x"].to_numpy(np.int64), pdf["y"].to_numpy(np.int64)
-        name = x * pdf["width"].iloc[0] + y
+        low_x, low_y, width = (pdf[c].iloc[0] for c in ("low_x", "low_y", "width"))
+        name = (x - low_x) * width + y - low_y
         order = np.argsort(name)  # position in this order grows with the label
         place = np.full((TILE_SIDE + 1, TILE_SIDE + 1), -1)
         i, j = (x % TILE_SIDE)[order], (y % TILE_SIDE)[order]
@@ -302,7 +312,8 @@ def _tile_components(pixels: DataFrame) -> DataFrame:
 
 
 def label_components(pixels: DataFrame) -> DataFrame:
-    """Label 4-connected foreground pixels; the label is the smallest ``x * width + y``.
+    """Label 4-connected foreground pixels; the label is the smallest ``x * width + y``,
+    counted from the lowest x and y of the slice where these are negative.
 
     Tiles of bounded size are labelled first, so the graph that spans the cluster has one node
     per component and tile, and edges only where a component crosses a tile border.
