@@ -1,5 +1,6 @@
 """Lineage, markers, annotation, registration, communities and components."""
 
+import itertools
 import math
 
 import numpy as np
@@ -56,11 +57,40 @@ def _tiny(spark, sizes):
     return spark.createDataFrame(data, "cell_id bigint, assay string, stage int, state string, emb array<double>")
 
 
-def test_rare_states_end_in_an_error(spark):
-    cells = _tiny(spark, [(0, "a", 10), (0, "rare", 2), (1, "b", 10)])
+def test_rare_states_are_redrawn_until_served(spark):
+    """A draw counts only if the rare state is absent from it; pairs do not wait for each other."""
+    cells = _tiny(spark, [(0, "a", 10), (0, "rare", 1), (1, "b", 10)])
     pre, nex = lineage.pair_pool(cells)
-    with pytest.raises(ValueError, match="too few accepted"):
-        lineage.lineage_reps(pre, nex, replicates=5)
+    reps, states = lineage.lineage_reps(pre, nex, replicates=20, attempts=4)
+    assert [r.idx for r in reps.orderBy("rep").collect()] == list(range(1, 21))
+    kept = states.join(reps.select(*lineage.PAIR, "rep"), [*lineage.PAIR, "rep"], "left_semi")
+    assert rows(kept.select("state").distinct()) == [("a",)]
+    once, _ = lineage.lineage_reps(pre, nex, replicates=20, attempts=2000)
+    assert rows(once.select("rep", "cut", "k")) == rows(reps.select("rep", "cut", "k"))
+
+
+def test_impossible_pairs_are_reported_and_do_not_stop_the_others(spark):
+    cells = _tiny(spark, [(0, "rare", 2), (1, "a", 9), (2, "b", 9)])
+    pre, nex = lineage.pair_pool(cells)
+    prospects = lineage.pair_prospects(pre, nex).select("pre_stage", "nex_stage", "n", "take", "possible")
+    assert rows(prospects) == [(0, 1, 11, 9, False), (0, 2, 11, 9, False), (1, 2, 18, 14, True)]
+    reps, _ = lineage.lineage_reps(pre, nex, replicates=5)
+    assert rows(reps.groupBy("pre_stage", "nex_stage").count()) == [(1, 2, 5)]
+
+
+@pytest.mark.parametrize("sizes, later", [([3, 3], 0), ([3, 4, 2], 1), ([5, 3], 2), ([2, 2], 9), ([6], 0), ([3, 3, 3], 1)])
+def test_prospects_match_all_draws(spark, sizes, later):
+    """Brute force over every number of cells that each state can keep."""
+    pre = _tiny(spark, [(0, f"s{i}", n) for i, n in enumerate(sizes)])
+    pre = pre.select("assay", F.lit(0).alias("pre_stage"), F.lit(1).alias("nex_stage"), "cell_id", "state")
+    nex = pre.limit(0) if not later else spark.range(later).select(
+        F.lit("RNA").alias("assay"), F.lit(0).alias("pre_stage"), F.lit(1).alias("nex_stage"),
+        (F.col("id") + 10_000).alias("cell_id"), F.lit("z").alias("state"))
+    for drop in (0.0, 0.2, 0.4, 0.6):
+        got = lineage.pair_prospects(pre, nex, drop).first()
+        options = [[0, *range(3, n + 1)] for n in sizes] + [range(later + 1)]
+        want = any(sum(c) == got["take"] and any(c[:-1]) for c in itertools.product(*options))
+        assert got["possible"] == want
 
 
 def test_k_shrinks_and_stays_small(spark):
@@ -147,6 +177,40 @@ def test_welch_by_hand_and_zero_variance(spark):
     assert got[0, "c"].score == 0 and got[0, "c"].pval == 1 and first.padj >= first.pval
 
 
+def test_moments_far_from_zero(spark):
+    """Values near 1e8 with a spread of one: the digits of the spread survive."""
+    rng = np.random.default_rng(3)
+    x = 1e8 + rng.normal(size=(60, 2)) + np.repeat([0.0, 3.0, 1.0], 20)[:, None]
+    x[:, 1] = x[0, 1]  # a constant gene
+    values = spark.createDataFrame(
+        [(c, f"g{g}", float(x[c, g])) for c in range(60) for g in range(2)], "cell bigint, gene string, value double"
+    )
+    groups = spark.createDataFrame([(c, c // 20) for c in range(60)], "cell bigint, group int")
+    got = {(r.group, r.gene): r for r in markers.welch(markers.group_sums(values, groups)).collect()}
+    for g in range(3):
+        own, rest = x[g * 20 : g * 20 + 20, 0] - 1e8, np.delete(x[:, 0], slice(g * 20, g * 20 + 20)) - 1e8
+        want = (own.mean() - rest.mean()) / math.sqrt(own.var(ddof=1) / 20 + rest.var(ddof=1) / 40)
+        assert math.isclose(got[g, "g0"].score, want, rel_tol=1e-6)
+        assert got[g, "g1"].score == 0
+
+
+def test_cells_of_two_slices_stay_apart(spark):
+    values = spark.createDataFrame(
+        [("a", 1, "g", 1.0), ("a", 2, "g", 1.0), ("b", 1, "g", 9.0), ("b", 2, "g", 9.0)],
+        "slice string, cell bigint, gene string, value double",
+    )
+    groups = values.selectExpr("slice", "cell", "if(slice = 'a', 0, 1) AS `group`")
+    assert rows(markers.group_sums(values, groups).select("group", "n", "s1", "m2")) == [(0, 2, 2.0, 0.0), (1, 2, 18.0, 0.0)]
+
+
+def test_tiny_p_values_are_told_apart(spark):
+    """The smaller p wins although both are far below 1e-12, also where p is 0 as a double."""
+    data = [(0, "A", 5, -92.1), (0, "B", 9, -34.5), (1, "A", 5, -900.0), (1, "B", 9, -800.0), (2, "B", 9, -3.0), (2, "A", 9, -3.0)]
+    table = spark.createDataFrame(data, "group int, tissue string, hits int, log_pval double")
+    best = annotate.best_annotation(table.withColumn("pval", F.exp("log_pval")))
+    assert rows(best.select("group", "tissue")) == [(0, "A"), (1, "A"), (2, "A")]
+
+
 def test_absent_values_count_as_zero(spark):
     """A sparse table gives the same test as the dense one."""
     rng = np.random.default_rng(1)

@@ -153,7 +153,9 @@ def test_expand_ties_go_to_the_smaller_label(spark):
 
 def _components(points):
     left, label = set(points), {}
-    width = max(y for _, y in points) + 1
+    # frames that reach below zero are counted from their lowest pixel
+    low_x, low_y = (min(0, *(p[i] for p in points)) for i in (0, 1))
+    width = max(y for _, y in points) + 1 - low_y
     while left:
         stack, comp = [left.pop()], []
         while stack:
@@ -163,7 +165,7 @@ def _components(points):
                 if p in left:
                     left.remove(p)
                     stack.append(p)
-        low = min(x * width + y for x, y in comp)
+        low = min((x - low_x) * width + y - low_y for x, y in comp)
         label |= dict.fromkeys(comp, low)
     return label
 
@@ -341,3 +343,17 @@ def test_residuals_of_zero_sums(spark):
     counts = spark.createDataFrame(rows, "slice string, cell bigint, gene string, cnt bigint")
     got = {(r.slice, r.cell, r.gene): r.resid for r in pearson_resid(counts).collect()}
     assert len(got) == 5 and all(v == 0 for k, v in got.items())
+
+
+def test_labels_below_zero_are_unique(spark):
+    px = spark.createDataFrame([("s", 1, -1), ("s", 0, 9), ("s", -3, 0), ("t", 0, 9)], "slice string, x int, y int")
+    got = {tuple(r)[:3]: r.label for r in pixels.label_components(px.withColumn("value", F.lit(1))).collect()}
+    # s: x from -3, rows of 11 pixels from y = -1; t: not negative, rows of 10 pixels from 0
+    assert got == {("s", 1, -1): 44, ("s", 0, 9): 43, ("s", -3, 0): 1, ("t", 0, 9): 9}
+
+
+def test_slice_folders_are_text(spark):
+    path = fresh_path(spark, "spots")
+    spots = spark.createDataFrame([("007", "g", 1, 2, 3)], "slice string, gene string, x int, y int, cnt bigint")
+    tables.write_spots(spots, path)
+    assert rows(tables.scan_spots(spark, path)) == [("007", "g", 1, 2, 3)]

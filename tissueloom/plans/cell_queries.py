@@ -10,8 +10,7 @@ from tissueloom.plans.bindings import with_ctes
 from tissueloom.plans.registry import query, rd
 from tissueloom.sources.storage import materialise
 
-# Replicates in the registered lineage queries; the bench runs the full number.
-REPLICATES = 20
+REPLICATES = lineage.REPLICATES
 SEED = 7
 
 
@@ -114,6 +113,25 @@ def lineage_reps(spark, sf_dir):
     return reps.select(*lineage.PAIR, "rep", "smallest", "k")
 
 
+@query(
+    "lineage_prospects",
+    with_ctes(
+        f"""SELECT {_KEY}, n, take, EXISTS (SELECT 1 FROM ranked r WHERE r.assay = t.assay AND r.pre_stage = t.pre_stage
+              AND r.nex_stage = t.nex_stage AND take BETWEEN 3 * i AND most + later) AS possible FROM totals t""",
+        "sc_cells",
+        extra=_LINEAGE | {
+            "sizes": f"SELECT {_KEY}, day, state, count(*) AS size FROM pool GROUP BY ALL",
+            "totals": f"""SELECT {_KEY}, sum(size)::BIGINT AS n, CAST(round(sum(size) * 0.8::DOUBLE) AS BIGINT) AS take,
+                sum(size) FILTER (day = 'nex') AS later FROM sizes GROUP BY ALL""",
+            "ranked": f"""SELECT {_KEY}, row_number() OVER w AS i, sum(size) OVER w AS most FROM sizes
+              WHERE day = 'pre' AND size >= 3 WINDOW w AS (PARTITION BY {_KEY} ORDER BY size DESC, state)""",
+        },
+    ),
+)
+def lineage_prospects(spark, sf_dir):
+    return lineage.pair_prospects(*_prepared(spark, sf_dir))
+
+
 @query("lineage_counts", with_ctes("SELECT * FROM cnts", "sc_cells", extra=_LINEAGE))
 def lineage_counts(spark, sf_dir):
     pre, nex = _prepared(spark, sf_dir)
@@ -365,19 +383,23 @@ def group_corr(spark, sf_dir):
 _ENRICH = _WELCH | {
     "known": "SELECT DISTINCT gene_id, tissue FROM tissue_map WHERE stage = '0'",
     "mapped": """SELECT DISTINCT "group", gene_id FROM ranked JOIN gene_map ON symbol = gene
-      SEMI JOIN known USING (gene_id) WHERE rank <= 10""",
+      SEMI JOIN known USING (gene_id) WHERE rank <= 50""",
     "hit": """SELECT "group", tissue, total, marked, drawn, hits FROM
         (SELECT "group", tissue, count(*) AS hits FROM mapped JOIN known USING (gene_id) GROUP BY ALL)
         JOIN (SELECT tissue, count(*) AS marked FROM known GROUP BY ALL) USING (tissue)
         JOIN (SELECT "group", count(*) AS drawn FROM mapped GROUP BY ALL) USING ("group"),
         (SELECT count(DISTINCT gene_id) AS total FROM known)""",
-    "enriched": """SELECT "group", tissue, total, marked, drawn, hits, sum(
-          exp(lgamma(marked + 1) - lgamma(i + 1) - lgamma(marked - i + 1)
+    "terms": """SELECT *, lgamma(marked + 1) - lgamma(i + 1) - lgamma(marked - i + 1)
             + lgamma(total - marked + 1) - lgamma(drawn - i + 1) - lgamma(total - marked - drawn + i + 1)
-            - lgamma(total + 1) + lgamma(drawn + 1) + lgamma(total - drawn + 1))) AS pval
-      FROM (SELECT *, unnest(range(hits, least(marked, drawn) + 1)) AS i FROM hit) GROUP BY ALL""",
+            - lgamma(total + 1) + lgamma(drawn + 1) + lgamma(total - drawn + 1) AS term
+      FROM (SELECT *, unnest(range(greatest(hits, drawn + marked - total), least(marked, drawn) + 1)) AS i FROM hit)""",
+    "peak": """SELECT *, max(term) OVER (PARTITION BY "group", tissue) AS top FROM terms""",
+    "enriched": """SELECT "group", tissue, total, marked, drawn, hits,
+        least(any_value(top) + ln(sum(exp(term - top))), 0) AS log_pval,
+        exp(least(any_value(top) + ln(sum(exp(term - top))), 0)) AS pval
+      FROM peak GROUP BY "group", tissue, total, marked, drawn, hits""",
     "best": """SELECT "group", tissue, hits, pval FROM (SELECT *, row_number() OVER (PARTITION BY "group"
-        ORDER BY round(pval, 12), hits DESC, tissue) AS rn FROM enriched) WHERE rn = 1""",
+        ORDER BY round(log_pval, 9), hits DESC, tissue) AS rn FROM enriched) WHERE rn = 1""",
 }
 
 
@@ -401,12 +423,12 @@ def gene_to_tissue(spark, sf_dir):
 
 def _enriched(spark, sf_dir):
     maps = (materialise(m, "map") for m in (bind.gene_map(spark, sf_dir), bind.tissue_map(spark, sf_dir)))
-    return annotate.enrich(_top(spark, sf_dir, 10), *maps, ["0"])
+    return annotate.enrich(_top(spark, sf_dir, 50), *maps, ["0"])
 
 
-@query("enrich", with_ctes("SELECT * REPLACE (round(pval, 6) AS pval) FROM enriched", "vals", "gene_map", "tissue_map", extra=_ENRICH))
+@query("enrich", with_ctes("SELECT * REPLACE (round(pval, 6) AS pval, round(log_pval, 6) AS log_pval) FROM enriched", "vals", "gene_map", "tissue_map", extra=_ENRICH))
 def enrich(spark, sf_dir):
-    return r6(_enriched(spark, sf_dir), "pval")
+    return r6(_enriched(spark, sf_dir), "pval", "log_pval")
 
 
 @query(
@@ -416,12 +438,12 @@ def enrich(spark, sf_dir):
              round(least(min(raw) OVER (PARTITION BY "group" ORDER BY pval DESC, tissue DESC), 1), 6) AS padj
            FROM (SELECT *, pval * count(*) OVER (PARTITION BY "group")
                    / row_number() OVER (PARTITION BY "group" ORDER BY pval, tissue) AS raw
-                 FROM (SELECT "group", tissue, round(pval, 12) AS pval FROM enriched))""",
+                 FROM enriched)""",
         "vals", "gene_map", "tissue_map", extra=_ENRICH,
     ),
 )
 def bh_adjust(spark, sf_dir):
-    enriched = _enriched(spark, sf_dir).select("group", "tissue", F.round("pval", 12).alias("pval"))
+    enriched = _enriched(spark, sf_dir).select("group", "tissue", "pval")
     return r6(markers.bh_adjust(enriched, "pval", ["group"], "tissue"), "pval", "padj")
 
 
@@ -442,6 +464,65 @@ def annotate_cells(spark, sf_dir):
     return annotate.annotate_cells(bind.groups(spark, sf_dir).withColumnRenamed("group", "cluster"), best)
 
 
+_ENRICH_SWEEP = _SWEEP | {
+    key: sql.replace('"group"', 'resolution, "group"')
+    for key, sql in _ENRICH.items()
+    if key in ("known", "mapped", "hit", "terms", "peak", "enriched", "best")
+}
+
+
+def _sweep_top(spark, sf_dir):
+    top = markers.rank_markers(bind.values(spark, sf_dir), bind.clusters(spark, sf_dir), by=["resolution"])
+    return materialise(top.select("resolution", "group", "gene", "rank"), "top")
+
+
+@query(
+    "annotation_sweep",
+    with_ctes(
+        """SELECT c.resolution, cell, c."group" AS cluster, tissue AS auto_anno FROM clusters c
+           LEFT JOIN best USING (resolution, "group")""",
+        "vals", "clusters", "gene_map", "tissue_map", extra=_ENRICH_SWEEP,
+    ),
+)
+def annotation_sweep(spark, sf_dir):
+    """Cells annotated at every resolution; group numbers of different resolutions stay apart."""
+    by = ["resolution"]
+    maps = (materialise(m, "map") for m in (bind.gene_map(spark, sf_dir), bind.tissue_map(spark, sf_dir)))
+    best = annotate.annotate(_sweep_top(spark, sf_dir), *maps, ["0"], by=by)
+    cells = bind.clusters(spark, sf_dir).withColumnRenamed("group", "cluster")
+    return annotate.annotate_cells(cells, best, by=by).select("resolution", "cell", "cluster", "auto_anno")
+
+
+@query(
+    "heatmap_sweep",
+    with_ctes(
+        """SELECT resolution, "group", gene, round(least(greatest(s1 / n1, 0.3::DOUBLE), 3), 6) AS value
+           FROM gs SEMI JOIN (SELECT DISTINCT resolution, gene FROM ranked WHERE rank <= 10) r USING (resolution, gene)""",
+        "vals", "clusters", extra=_SWEEP,
+    ),
+)
+def heatmap_sweep(spark, sf_dir):
+    by = ["resolution"]
+    sums = materialise(markers.group_sums(bind.values(spark, sf_dir), bind.clusters(spark, sf_dir), by), "sums")
+    top = markers.top_genes(markers.welch(sums, by), by=by)
+    return r6(markers.heatmap_table(top, sums, by=by), "value")
+
+
+@query(
+    "group_corr_sweep",
+    with_ctes(
+        f"""SELECT a.resolution, a."group" AS group_a, b."group" AS group_b, {rd('corr(a.s1 / a.n1, b.s1 / b.n1)')} AS corr,
+              {rd('1 - corr(a.s1 / a.n1, b.s1 / b.n1)')} AS distance
+            FROM gs a JOIN gs b ON a.resolution = b.resolution AND a.gene = b.gene AND a."group" < b."group" GROUP BY ALL""",
+        "vals", "clusters", extra=_SWEEP,
+    ),
+)
+def group_corr_sweep(spark, sf_dir):
+    by = ["resolution"]
+    sums = markers.group_sums(bind.values(spark, sf_dir), bind.clusters(spark, sf_dir), by)
+    return r6(markers.group_corr(sums, by), "corr", "distance")
+
+
 # --- registration ----------------------------------------------------------------------------
 
 _RIGID = {

@@ -25,8 +25,10 @@ def scan_spots(spark: SparkSession, path: str, spread: int | None = None) -> Dat
     ``spread`` re-partitions after the scan.
     """
     raw = spark.read.schema(SPOT_SCHEMA).csv(path, sep="\t", header=True)
+    if "slice" in raw.columns:  # folder names are text: 007 stays 007
+        raw = spark.read.schema(f"{SPOT_SCHEMA}, slice string").csv(path, sep="\t", header=True)
     name = F.regexp_replace(F.substring_index("_metadata.file_path", "/", -1), SPOT_SUFFIX, "")
-    from_folder = F.col("slice").cast("string") if "slice" in raw.columns else name
+    from_folder = F.col("slice") if "slice" in raw.columns else name
     spots = raw.select(from_folder.alias("slice"), "gene", "x", "y", "cnt")
     return spots.repartition(spread) if spread else spots
 
