@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tissueloom.llm.common import release, slices
 from tissueloom.sources.storage import materialise
@@ -28,10 +28,23 @@ from tissueloom.sources.storage import materialise
 CAPACITY, END_ID = 2048, 0
 #: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
 MEMORY, LONGEST_KEPT = 1_390_000, 64
+#: Last character of the blocks whose letters are single code points that lower-casing and NFC treat alone.
+LATIN_END = "\u024f"
 #: Pieces of one (length, bucket) group that are numbered together.
 GROUP_ROWS = 50_000
 
 
+class Known(dict):
+    """Ids of chunks; looking up an unknown chunk notes it and gives ``None``."""
+
+    def __init__(self):
+        super().__init__({"": b""})
+        self.lacking: set[str] = set()
+
+    def __missing__(self, chunk: str) -> None:
+        self.lacking.add(chunk)
+
+
 class ChunkTokenizer:
     """Ids of whole texts, tokenized chunk by chunk between spaces and line ends.
 
@@ -43,22 +56,28 @@ class ChunkTokenizer:
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        # words that are already as the normalizer would leave them need neither it nor the splitting
+        self.plain = Tokenizer.from_str(spec)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.known = Known()
         self._marks: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[bytes]:
+        encoded = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _words(self, words: list[str]) -> dict[str, bytes]:
+    def _words(self, words: list[str], tokenizer: Tokenizer) -> dict[str, bytes]:
         """Ids of words of letters: many in one text, told apart by the ids that end a word."""
         out = {}
         for at in range(0, len(words), 2000):
             own = words[at : at + 2000]
-            ids = np.frombuffer(self._ids([" ".join(own)])[0], "<u4")
+            ids = np.frombuffer(self._ids([" ".join(own)], tokenizer)[0], "<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(own):
                 raw, cuts = ids.tobytes(), [0, *(ends * 4).tolist()]
@@ -70,19 +89,21 @@ class ChunkTokenizer:
     def _fresh(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that are not known yet, and of the words in them."""
         known, marks = self.known, ".,!?;:"
-        parts, others = [], []
+        parts, others, plain, cased = [], [], set(), set()
         for c in chunks:
             word, tail = (c[:-1], c[-1]) if c[-1] in marks else (c, "")
             if not word.isalpha():
                 others.append(c)
-            elif word.isascii():
-                parts.append((c, word.lower(), tail))
+            elif word.isascii() or (max(word) <= LATIN_END and word.lower().isalpha()):
+                parts.append((c, word := word.lower(), tail))
+                plain.add(word)
             elif normalize("NFC", word).lower().isalpha():  # still letters as the tokenizer sees it
                 parts.append((c, word, tail))
+                cased.add(word)
             else:
                 others.append(c)
-        wanted = {w for _, w, _ in parts}
-        ids = self._words([w for w in wanted if w not in known])
+        ids = self._words([w for w in plain if w not in known], self.plain)
+        ids |= self._words([w for w in cased if w not in known], self.tokenizer)
         tails = self._marks
         if not tails:
             tails.update(zip(["", *marks], [b"", *self._ids(list(marks))]))
@@ -93,19 +114,26 @@ class ChunkTokenizer:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        get = self.known.get
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(get, chunks)) for chunks in split]
-        lacking = [i for i, ids in enumerate(found) if None in ids]
-        if lacking:
-            fresh = {c for i in lacking for c, ids in zip(split[i], found[i]) if ids is None}
-            once = self._fresh(fresh)
-            for i in lacking:
-                found[i] = [once[c] if ids is None else ids for c, ids in zip(split[i], found[i])]
-            if len(self.known) + len(once) > MEMORY:
-                self.known.clear()
-                self.known[""] = b""
-            self.known.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
+        known, get = self.known, self.known.__getitem__
+        known.lacking = set()
+        split, found, short = [], [], []
+        for i, text in enumerate(texts):
+            chunks = (text or "").replace("\n", " ").split(" ")
+            before, ids = len(known.lacking), list(map(get, chunks))
+            split.append(chunks)
+            found.append(ids)
+            # a chunk noted by an earlier text does not grow the set, so such texts are searched
+            if len(known.lacking) > before or (before and None in ids):
+                short.append(i)
+        if known.lacking:
+            once = self._fresh(known.lacking)
+            for i in short:
+                ids, chunks = found[i], split[i]
+                for k in [k for k, own in enumerate(ids) if own is None]:
+                    ids[k] = once[chunks[k]]
+            if len(known) + len(once) > MEMORY:
+                known = self.known = Known()
+            known.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
         return [b"".join(ids) for ids in found]
 
 
