@@ -70,11 +70,11 @@ class Page:
     """Blocks of text with the paths of the elements around them, in page order.
 
     ``blocks``: (text, paths of the open elements from the outside in); ``children``: path to the
-    signatures of its child elements; ``main``: whether a block stands inside an article or main element.
+    signatures of its child elements.
     """
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, tuple[int, ...], bool]] = []
+        self.blocks: list[tuple[str, tuple[int, ...]]] = []
         self.children: dict[int, list[str]] = {}
         self._text: list[str] = []
         self._stack: list[tuple[str, str, int, bool]] = []  # name, path, path hash, noise
@@ -86,8 +86,7 @@ class Page:
             self._text = []
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text and not any(noise for *_, noise in self._stack):
-                main = any(name in ("article", "main") for name, *_ in self._stack)
-                self.blocks.append((text, tuple(h for _, _, h, _ in self._stack), main))
+                self.blocks.append((text, tuple(h for _, _, h, _ in self._stack)))
 
     def _open(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
@@ -167,15 +166,14 @@ class Page:
     def texts(self, noise: frozenset[int] | set[int] = frozenset()) -> list[str]:
         """The main text's blocks without those below a noise path.
 
-        Pages with an article or main element give what is inside.  Should the noise paths hold more
-        than half of the text, they are taken for content (a host whose pages are copies) and stay.
+        Should the noise paths hold more than half of the text, they are taken for content (a host
+        whose pages are copies) and stay.
         """
-        blocks = [b for b in self.blocks if b[2]] or self.blocks
         if not noise:
-            return [t for t, _, _ in blocks]
-        kept = [t for t, paths, _ in blocks if noise.isdisjoint(paths)]
-        if 2 * sum(map(len, kept)) < sum(len(t) for t, _, _ in blocks):
-            return [t for t, _, _ in blocks]
+            return [t for t, _ in self.blocks]
+        kept = [t for t, paths in self.blocks if noise.isdisjoint(paths)]
+        if 2 * sum(map(len, kept)) < sum(len(t) for t, _ in self.blocks):
+            return [t for t, _ in self.blocks]
         return kept
 
 
@@ -194,7 +192,7 @@ def site_nodes(pages: DataFrame) -> DataFrame:
                 for host, source in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                     page = Page(source)
                     found = set()
-                    for text, paths, _ in page.blocks:
+                    for text, paths in page.blocks:
                         value = digest(text)
                         for path in paths:
                             found.add((path, 0, 0))
