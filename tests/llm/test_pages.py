@@ -12,3 +12,10 @@ def texts(spark, rows):
 def test_text_beside_an_article_stays():
     body = "<div class=content><p>The long main text</div><article class=teaser><p>A card</article>"
     assert Page(body).texts() == ["The long main text", "A card"]
+
+
+def test_inline_noise_goes_alone():
+    share = "<article><p>One</p><button>Share</button><p>Two <span class=ad>Buy</span> three<select><option>x<option>y</select></p>"
+    assert Page(share + "<svg><text>icon</text></svg></article>").texts() == ["One", "Two three"]
+    assert Page("<p>Text <a class=share><div>x</div></a> goes on<p>End").texts() == ["Text", "goes on", "End"]
+    assert Page("<p>one<button>x</button>two").texts() == ["one two"]

@@ -77,16 +77,29 @@ class Page:
         self.blocks: list[tuple[str, tuple[int, ...]]] = []
         self.children: dict[int, list[str]] = {}
         self._text: list[str] = []
+        self._depth = 0  # open elements that hold all of the text so far
         self._stack: list[tuple[str, str, int, bool]] = []  # name, path, path hash, noise
         self._parse(source or "")
 
+    def _add(self, piece: str) -> None:
+        if self._stack and self._stack[-1][3]:
+            piece = " "  # noise parts words, as a box of its own would
+        elif not self._text or len(self._stack) < self._depth:
+            self._depth = len(self._stack)
+        if self._text or piece != " ":
+            self._text.append(piece)
+
     def _flush(self) -> None:
         if self._text:
             raw = "".join(self._text)
             self._text = []
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-            if text and not any(noise for *_, noise in self._stack):
-                self.blocks.append((text, tuple(h for _, _, h, _ in self._stack)))
+            if text:
+                self.blocks.append((text, tuple(h for _, _, h, _ in self._stack[: self._depth])))
+
+    def _pop(self, at: int) -> None:
+        del self._stack[at:]
+        self._depth = min(self._depth, at)
 
     def _open(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
@@ -97,7 +110,9 @@ class Page:
             if any(x[0] == "p" for x in self._stack):  # a block closes an open paragraph and what it holds
                 at = max(i for i, x in enumerate(self._stack) if x[0] == "p")
                 if not any(x[0] in BLOCKS for x in self._stack[at + 1 :]):
-                    del self._stack[at:]
+                    # inline noise around the block lasts until its own end
+                    inner = [x for x in self._stack[at + 1 :] if x[3]] if not self._stack[at][3] else []
+                    self._stack[at:] = inner
         sign, noise = signature(name, attributes)
         if name == "header" and any(x[0] in ("article", "main") for x in self._stack):
             noise = False  # an article's own heading
@@ -106,7 +121,7 @@ class Page:
             self.children.setdefault(parent[2], []).append(sign)
         if name in VOID:
             if name == "br":
-                self._text.append(" ")
+                self._add(" ")
             return
         path = f"{parent[1]}/{sign}" if parent else sign
         self._stack.append((name, path, _path_hash(path), noise or bool(parent and parent[3])))
@@ -117,17 +132,17 @@ class Page:
             return  # nothing to close, or an inline end outside its block
         if name in BLOCKS or any(x[0] in BLOCKS for x in self._stack[at:]):
             self._flush()
-        del self._stack[at:]
+        self._pop(at)
 
     def _parse(self, s: str) -> None:
         at, size, lowered = 0, len(s), None
         while at < size:
             lt = s.find("<", at)
             if lt < 0:
-                self._text.append(s[at:])
+                self._add(s[at:])
                 break
             if lt > at:
-                self._text.append(s[at:lt])
+                self._add(s[at:lt])
             if s.startswith("<!--", lt):
                 end = s.find("-->", lt + 4)
                 at = size if end < 0 else end + 3
@@ -140,7 +155,7 @@ class Page:
             closing = nxt == "/"
             m = NAME.match(s, lt + 1 + closing)
             if not m:
-                self._text.append("<")
+                self._add("<")
                 at = lt + 1
                 continue
             name = m[0].lower()
