@@ -19,3 +19,17 @@ def test_inline_noise_goes_alone():
     assert Page(share + "<svg><text>icon</text></svg></article>").texts() == ["One", "Two three"]
     assert Page("<p>Text <a class=share><div>x</div></a> goes on<p>End").texts() == ["Text", "goes on", "End"]
     assert Page("<p>one<button>x</button>two").texts() == ["one two"]
+
+
+def test_repeated_text_goes_from_two_distinct_pages_on(spark):
+    notice = "".join(f"<div class=n{k}>A long notice that all pages have, part {k}</div>" for k in range(9))
+    page = "<body><p>Short {}</p>" + notice + "</body>"
+    rows = [("http://two/", page.format("a")), ("http://two/x", page.format("b"))]
+    rows += [(f"http://many/{i}", page.format(i)) for i in range(12)]
+    rows += [("http://copies/", "<body><p>The same page</p><p>twice</p></body>")] * 5
+    # one page's own text stays, even below a node that mostly repeats
+    rows += [(f"http://list/{i}", "<body><ul class=k>" + "".join(f"<li>{k}" for k in range(30)) + f"<li>own {i}</ul></body>") for i in range(3)]
+    got = texts(spark, rows)
+    assert got[:2] == ["Short a", "Short b"] and got[2:14] == [f"Short {i}" for i in range(12)]
+    assert got[14:19] == ["The same page\ntwice"] * 5
+    assert [x.splitlines()[-1] for x in got[19:]] == ["own 0", "own 1", "own 2"]

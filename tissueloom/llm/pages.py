@@ -1,11 +1,12 @@
 """Main text of web pages with a site style tree.
 
-The pages of a host are merged into one tree of element paths (tags with class and id).  For every path
-the tree has how many pages hold it, in which presentation styles (the sequence of child elements) and with which
-content.  A node's importance is the entropy of its styles over the pages, or one minus the mean
-entropy of its content features, whichever is larger: a branch that looks and reads alike everywhere is noise.
+The pages of a host are merged into one tree of element paths (tags with class and id).  For every node that
+holds text the tree has how many distinct pages hold it, in which presentation styles (the sequence of child
+elements) and with which content; pages of equal text count once.  A node's importance is the entropy of its styles over
+the pages, or one minus the mean entropy of its content features, whichever is larger: what looks and reads alike
+everywhere is noise.  Of a noise node the texts of two or more distinct pages go; one page's own text always stays.
 Elements whose tag or class names their role (menus, footers, adverts, ...) are noise from the start.
-The tree is aggregated by Spark; a page only needs the host's noise paths.
+The tree is aggregated by Spark; a page only needs the host's noise texts.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from tissueloom.llm.common import slices
 from tissueloom.sources.storage import materialise
 
-#: Importance below which a branch is noise, and pages that must hold it before that can be told.
-MIN_IMPORTANCE, MIN_PAGES = 0.3, 8
+#: Importance below which a node is noise, and distinct pages that must hold it before that can be told.
+MIN_IMPORTANCE, MIN_PAGES = 0.3, 2
 
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -67,14 +68,14 @@ def signature(name: str, attributes: str) -> tuple[str, bool]:
 
 
 class Page:
-    """Blocks of text with the paths of the elements around them, in page order.
+    """Blocks of text with the path of the element around them, in page order.
 
-    ``blocks``: (text, paths of the open elements from the outside in); ``children``: path to the
-    signatures of its child elements.
+    ``blocks``: (text, path of the innermost element); ``children``: path to the signatures of its child
+    elements.
     """
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, tuple[int, ...]]] = []
+        self.blocks: list[tuple[str, int]] = []
         self.children: dict[int, list[str]] = {}
         self._text: list[str] = []
         self._depth = 0  # open elements that hold all of the text so far
@@ -95,7 +96,7 @@ class Page:
             self._text = []
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                self.blocks.append((text, tuple(h for _, _, h, _ in self._stack[: self._depth])))
+                self.blocks.append((text, self._stack[self._depth - 1][2] if self._depth else 0))
 
     def _pop(self, at: int) -> None:
         del self._stack[at:]
@@ -178,18 +179,13 @@ class Page:
             at = stop
         self._flush()
 
-    def texts(self, noise: frozenset[int] | set[int] = frozenset()) -> list[str]:
-        """The main text's blocks without those below a noise path.
+    def nodes(self) -> list[tuple[str, int, int]]:
+        """Every block's text with its node in the tree and the text's feature there."""
+        return [(text, path, hash((path, digest(text)))) for text, path in self.blocks]
 
-        Should the noise paths hold more than half of the text, they are taken for content (a host
-        whose pages are copies) and stay.
-        """
-        if not noise:
-            return [t for t, _ in self.blocks]
-        kept = [t for t, paths in self.blocks if noise.isdisjoint(paths)]
-        if 2 * sum(map(len, kept)) < sum(len(t) for t, _ in self.blocks):
-            return [t for t, _ in self.blocks]
-        return kept
+    def texts(self, noise: frozenset[int] | set[int] = frozenset()) -> list[str]:
+        """The main text's blocks without those whose feature is noise."""
+        return [text for text, _, feature in self.nodes() if feature not in noise]
 
 
 @lru_cache(maxsize=8192)
@@ -198,49 +194,53 @@ def _path_hash(path: str) -> int:
 
 
 def site_nodes(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, value``, once per page: 0 the page itself, 1 a presentation style, 2 a content feature."""
+    """``host, page, path, kind, value``, once per page: 0 the page itself, 1 a presentation style, 2 a content feature.
+
+    ``page`` is the same for pages of equal text.
+    """
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                rows: tuple[list, ...] = ([], [], [], [])
+                rows: tuple[list, ...] = ([], [], [], [], [])
                 for host, source in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                     page = Page(source)
                     found = set()
-                    for text, paths in page.blocks:
-                        value = digest(text)
-                        for path in paths:
-                            found.add((path, 0, 0))
-                            found.add((path, 2, value))
-                    for path, signs in page.children.items():
-                        found.add((path, 1, digest(" ".join(signs))))
+                    nodes = page.nodes()
+                    same = hash(tuple(feature for _, _, feature in nodes))
+                    for _, path, feature in nodes:
+                        found.add((path, 0, 0))
+                        found.add((path, 2, feature))
+                        if path in page.children:
+                            found.add((path, 1, digest(" ".join(page.children[path]))))
                     for path, kind, value in found:
-                        for column, v in zip(rows, (host, path, kind, value)):
+                        for column, v in zip(rows, (host, same, path, kind, value)):
                             column.append(v)
-                types = (pa.string(), pa.int64(), pa.int32(), pa.int64())
+                types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(rows, types)], names=["host", "path", "kind", "value"]
+                    [pa.array(v, t) for v, t in zip(rows, types)], names=["host", "page", "path", "kind", "value"]
                 )
 
     return pages.filter(F.col("host").isNotNull()).select("host", "html").mapInArrow(
-        run, "host string, path bigint, kind int, value bigint"
+        run, "host string, page bigint, path bigint, kind int, value bigint"
     )
 
 
-def noise_paths(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, noise``: the paths of each host's style tree whose importance is below ``least``."""
-    counted = site_nodes(pages).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+def noise_texts(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, noise``: the repeated features of the nodes in each host's style tree whose importance is below ``least``."""
+    counted = site_nodes(pages).distinct().groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     # sums from which both entropies follow: of n, of n ln n, and of ln n over the values
     node = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
         F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("s"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.ln("n"))).alias("s_ln"),
         F.avg(F.when(F.col("kind") == 2, F.ln("n"))).alias("c_ln"),
+        F.collect_list(F.when((F.col("kind") == 2) & (F.col("n") > 1), F.col("value"))).alias("repeated"),
     )
     presentation = F.coalesce(F.expr("(ln(s) - s_ln / s) / ln(m)"), F.lit(0.0))
     content = F.lit(1.0) - F.coalesce(F.expr("c_ln / ln(m)"), F.lit(0.0))
     low = node.filter(F.col("m") >= max(2, min_pages)).filter(F.greatest(presentation, content) < least)
-    return low.groupBy("host").agg(F.collect_set("path").alias("noise"))
+    return low.groupBy("host").agg(F.flatten(F.collect_list("repeated")).alias("noise"))
 
 
 def main_text(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -252,7 +252,7 @@ def main_text(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int =
     """
     host = F.nullif(F.lower(F.regexp_extract("url", r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#\s]*)", 1)), F.lit(""))
     source = pages.select("page_id", "url", "html", host.alias("host"))
-    paths = materialise(noise_paths(source, least, min_pages), "style-tree")
+    paths = materialise(noise_texts(source, least, min_pages), "style-tree")
     joined = source.join(paths, "host", "left").select("page_id", "url", "html", "noise")
 
     def run(batches):
