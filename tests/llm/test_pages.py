@@ -33,3 +33,13 @@ def test_repeated_text_goes_from_two_distinct_pages_on(spark):
     assert got[:2] == ["Short a", "Short b"] and got[2:14] == [f"Short {i}" for i in range(12)]
     assert got[14:19] == ["The same page\ntwice"] * 5
     assert [x.splitlines()[-1] for x in got[19:]] == ["own 0", "own 1", "own 2"]
+
+
+def test_unnamed_notice_is_known_by_its_place(spark):
+    rows = [(f"http://plain/{i}", f"<html><body><div>Article {i}</div><div>Same notice</div></body></html>") for i in range(9)]
+    rows += [(f"http://inner/{i}", f"<body><div><p>Article {i}</p></div><div><p>Same notice</p></div></body>") for i in range(9)]
+    rows += [(f"http://longer/{i}", "<body>" + "".join(f"<p>Part {i}.{k}" for k in range(i + 1)) + "<p>Same notice</body>") for i in range(9)]
+    rows += [(f"http://text/{i}", f"<body>Article {i}<div>Box {i}</div>Same notice</body>") for i in range(9)]
+    want = [f"Article {i}" for i in range(9)] * 2
+    want += ["\n".join(f"Part {i}.{k}" for k in range(i + 1)) for i in range(9)]
+    assert texts(spark, rows) == want + [f"Article {i}\nBox {i}" for i in range(9)]

@@ -1,7 +1,10 @@
 """Main text of web pages with a site style tree.
 
-The pages of a host are merged into one tree of element paths (tags with class and id).  For every node that
-holds text the tree has how many distinct pages hold it, in which presentation styles (the sequence of child
+The pages of a host are merged into one tree.  A text stands at three of its nodes: the path of tags with class
+and id, and its place, where each element is known by its parent's presentation style and its place in it.  A
+style is the sequence of child signatures with runs of equal ones as one; a place is the run and the number in
+it, counted from the start for one node and from the end for the other, so that a head or foot notice has one
+place on pages with longer and shorter texts.  For every node that holds text the tree has how many distinct pages hold it, in which presentation styles (the sequence of child
 elements) and with which content; pages of equal text count once.  A node's importance is the entropy of its styles over
 the pages, or one minus the mean entropy of its content features, whichever is larger: what looks and reads alike
 everywhere is noise.  Of a noise node the texts of two or more distinct pages go; one page's own text always stays.
@@ -70,16 +73,18 @@ def signature(name: str, attributes: str) -> tuple[str, bool]:
 class Page:
     """Blocks of text with the path of the element around them, in page order.
 
-    ``blocks``: (text, path of the innermost element); ``children``: path to the signatures of its child
-    elements.
+    ``blocks``: (text, path of the innermost element, the element's number, children before the text);
+    ``children``: path to the signatures of its child elements; ``inside``: for every element, numbered as they
+    open, the signatures and numbers of its children.
     """
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, int]] = []
+        self.blocks: list[tuple[str, int, int, int]] = []
         self.children: dict[int, list[str]] = {}
+        self.inside: list[list[tuple[int, int]]] = [[]]
         self._text: list[str] = []
         self._depth = 0  # open elements that hold all of the text so far
-        self._stack: list[tuple[str, str, int, bool]] = []  # name, path, path hash, noise
+        self._stack: list[tuple[str, str, int, bool, int]] = []  # name, path, path hash, noise, number
         self._parse(source or "")
 
     def _add(self, piece: str) -> None:
@@ -87,6 +92,7 @@ class Page:
             piece = " "  # noise parts words, as a box of its own would
         elif not self._text or len(self._stack) < self._depth:
             self._depth = len(self._stack)
+            self._before = len(self.inside[self._stack[-1][4] if self._stack else 0])
         if self._text or piece != " ":
             self._text.append(piece)
 
@@ -96,11 +102,14 @@ class Page:
             self._text = []
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                self.blocks.append((text, self._stack[self._depth - 1][2] if self._depth else 0))
+                _, _, path, _, number = self._stack[self._depth - 1] if self._depth else ("", "", 0, False, 0)
+                self.blocks.append((text, path, number, self._before))
 
     def _pop(self, at: int) -> None:
+        if at < self._depth:  # the text goes on outside
+            self._before = len(self.inside[self._stack[at - 1][4] if at else 0])
+            self._depth = at
         del self._stack[at:]
-        self._depth = min(self._depth, at)
 
     def _open(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
@@ -125,7 +134,10 @@ class Page:
                 self._add(" ")
             return
         path = f"{parent[1]}/{sign}" if parent else sign
-        self._stack.append((name, path, _path_hash(path), noise or bool(parent and parent[3])))
+        number = len(self.inside)
+        self.inside.append([])
+        self.inside[parent[4] if parent else 0].append((_path_hash(sign), number))
+        self._stack.append((name, path, _path_hash(path), noise or bool(parent and parent[3]), number))
 
     def _close(self, name: str) -> None:
         at = next((i for i in range(len(self._stack) - 1, -1, -1) if self._stack[i][0] == name), None)
@@ -179,13 +191,46 @@ class Page:
             at = stop
         self._flush()
 
-    def nodes(self) -> list[tuple[str, int, int]]:
-        """Every block's text with its node in the tree and the text's feature there."""
-        return [(text, path, hash((path, digest(text)))) for text, path in self.blocks]
+    def places(self) -> tuple[list[int], list[int], list[int]]:
+        """For every element its style and its node by place, counted from the start and from the end."""
+        style = [0] * len(self.inside)
+        runs: list[list[int]] = []  # for every element, the runs' lengths
+        for number, inside in enumerate(self.inside):
+            lengths, last, order = [], None, []
+            for sign, _ in inside:
+                if sign != last:
+                    lengths.append(0)
+                    order.append(sign)
+                    last = sign
+                lengths[-1] += 1
+            style[number] = hash(tuple(order))
+            runs.append(lengths)
+        found = []
+        for back in (0, 1):
+            at = [0] * len(self.inside)
+            for number, inside in enumerate(self.inside):  # parents come before their children
+                child = iter(inside)
+                for run, length in enumerate(runs[number]):
+                    for k in range(length):
+                        at[next(child)[1]] = hash((at[number], style[number], run, length - k if back else k, back))
+            found.append(at)
+        return style, *found
+
+    def nodes(self) -> list[tuple[str, list[tuple[int, int]]]]:
+        """Every block's text with its nodes in the tree and the text's feature at each."""
+        style, first, last = self.places()
+        found = []
+        for text, path, number, before in self.blocks:
+            value, after = digest(text), len(self.inside[number]) - before
+            where = (path, hash((first[number], style[number], before, 2)), hash((last[number], style[number], after, 3)))
+            found.append((text, [(node, hash((node, value))) for node in where]))
+        return found
 
     def texts(self, noise: frozenset[int] | set[int] = frozenset()) -> list[str]:
-        """The main text's blocks without those whose feature is noise."""
-        return [text for text, _, feature in self.nodes() if feature not in noise]
+        """The main text's blocks without those that are noise at one of their nodes."""
+        if not noise:
+            return [block[0] for block in self.blocks]
+        return [text for text, nodes in self.nodes() if noise.isdisjoint([feature for _, feature in nodes])]
 
 
 @lru_cache(maxsize=8192)
@@ -207,12 +252,13 @@ def site_nodes(pages: DataFrame) -> DataFrame:
                     page = Page(source)
                     found = set()
                     nodes = page.nodes()
-                    same = hash(tuple(feature for _, _, feature in nodes))
-                    for _, path, feature in nodes:
-                        found.add((path, 0, 0))
-                        found.add((path, 2, feature))
-                        if path in page.children:
-                            found.add((path, 1, digest(" ".join(page.children[path]))))
+                    same = hash(tuple(at[0][1] for _, at in nodes))
+                    for _, at in nodes:
+                        for path, feature in at:
+                            found.add((path, 0, 0))
+                            found.add((path, 2, feature))
+                            if path in page.children:
+                                found.add((path, 1, digest(" ".join(page.children[path]))))
                     for path, kind, value in found:
                         for column, v in zip(rows, (host, same, path, kind, value)):
                             column.append(v)
