@@ -43,3 +43,24 @@ def test_unnamed_notice_is_known_by_its_place(spark):
     want = [f"Article {i}" for i in range(9)] * 2
     want += ["\n".join(f"Part {i}.{k}" for k in range(i + 1)) for i in range(9)]
     assert texts(spark, rows) == want + [f"Article {i}\nBox {i}" for i in range(9)]
+
+
+def test_names_do_not_take_the_article(spark):
+    text = "<article><h1 class=post-header>Title</h1><p>Text</article>"
+    for body in (
+        f"<body class=right-sidebar>{text}</body>",
+        f"<body class='sidebar header'>{text}</body>",
+        f"<html class=no-sidebar><body class=header-fixed>{text}</body></html>",
+        f"<body><div id=page class=has-banner>{text}</div></body>",
+        f"<body><form id=page><div class=banner role=form>{text}</div></form></body>",
+        f"<body><main class=header>{text}</main></body>",
+    ):
+        assert Page(body).texts() == ["Title", "Text"], body
+    assert Page(f"<body><div class='sidebar x'>Side</div>{text}<div role=banner>B</div><form>F</form>").texts() == ["Title", "Text"]
+    assert Page("<article>A<section class=comments><article class=comment>C</article></section></article>").texts() == ["A"]
+    # importance speaks for a branch with most of a host's text, not for adverts that change
+    rows = [(f"http://odd/{i}", f"<body><div class=sidebar><p>Long main text of page number {i}</p><i class=ad>Buy {i}</i></div><div class=ad>Buy {i}!</div></body>") for i in range(6)]
+    rows += [("http://copy/", f"<body><p>One page of a host of copies<div class=ad>Buy {i}</div></body>") for i in range(6)]
+    rows += [(f"http://same/{i}", f"<body><p>Own {i}</p><div class=sidebar><p>A long text that is the same on all of the pages</p></div></body>") for i in range(6)]
+    want = [f"Long main text of page number {i}" for i in range(6)] + ["One page of a host of copies"] * 6
+    assert texts(spark, rows) == want + [f"Own {i}" for i in range(6)]

@@ -8,8 +8,11 @@ place on pages with longer and shorter texts.  For every node that holds text th
 elements) and with which content; pages of equal text count once.  A node's importance is the entropy of its styles over
 the pages, or one minus the mean entropy of its content features, whichever is larger: what looks and reads alike
 everywhere is noise.  Of a noise node the texts of two or more distinct pages go; one page's own text always stays.
-Elements whose tag or class names their role (menus, footers, adverts, ...) are noise from the start.
-The tree is aggregated by Spark; a page only needs the host's noise texts.
+Elements whose tag names their role (menus, footers, ...) are noise from the start.  A form, or an element with a
+class, id or role that names one (adverts, comments, ...), goes unless it holds an outer article or a main element, or
+(adverts apart) the tree speaks for it: its importance is that of content and more than half of the host's distinct
+text is inside.
+The tree is aggregated by Spark; a page only needs the host's noise texts and the named branches that stay.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp".split())
-NOISE_TAGS = frozenset("nav footer aside form button select head svg canvas object dialog header menu".split()) | RAW
+NOISE_TAGS = frozenset("nav footer aside button select head svg canvas object dialog header menu".split()) | RAW
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer "
     "header login menu modal nav navbar navigation newsletter notice pager pagination popup promo related reply "
@@ -45,7 +48,12 @@ NOISE_ROLES = frozenset("banner navigation contentinfo complementary search form
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 TAG_END = re.compile(r"[^\"'>]*+(?:(?:\"[^\"]*+\"|'[^']*+')[^\"'>]*+)*+>")
-WORD = re.compile(r"[a-z]+")
+#: Elements that are never noise by class, id or role, nor are those around them.
+MAIN = frozenset("html body main article".split())
+#: Names that importance cannot overrule, as changing adverts always look important.
+ADVERTS = frozenset("ad ads advert adverts advertisement sponsor sponsored".split())
+#: The node of all texts of a host, and that of adverts.
+ROOT, ADVERT = -1, -3
 # an open element of these is closed by the start of one of those
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 
@@ -55,59 +63,61 @@ def digest(text: str) -> int:
 
 
 @lru_cache(maxsize=4096)
-def signature(name: str, attributes: str) -> tuple[str, bool]:
-    """Tag with class and id, and whether they name a role outside the main text."""
+def signature(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """Tag with class and id, whether it is outside the main text by its tag, whether by another name, or as an advert."""
     found = {}
     for m in ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or ""))
-    marks = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    noise = (
-        name in NOISE_TAGS
-        or not NOISE_WORDS.isdisjoint(WORD.findall(marks))
-        or found.get("role", "").lower() in NOISE_ROLES
-        or "hidden" in found
+    marks = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    noise = name in NOISE_TAGS or ("hidden" in found and name not in MAIN)
+    named = name not in MAIN and (
+        name == "form" or not NOISE_WORDS.isdisjoint(marks) or not NOISE_ROLES.isdisjoint(found.get("role", "").lower().split())
     )
-    return f"{name}.{'.'.join(sorted(marks.split()))}", noise
+    return f"{name}.{'.'.join(sorted(marks))}", noise, named, named and not ADVERTS.isdisjoint(marks)
 
 
 class Page:
-    """Blocks of text with the path of the element around them, in page order.
+    """Blocks of text and the elements around them, in page order; elements are numbered as they open.
 
-    ``blocks``: (text, path of the innermost element, the element's number, children before the text);
-    ``children``: path to the signatures of its child elements; ``inside``: for every element, numbered as they
-    open, the signatures and numbers of its children.
+    ``blocks``: (pieces, number of the innermost element around all, children before the text), a piece being
+    its source and the inline element named as noise that holds it, or 0; ``children``: path to the signatures of its
+    child elements; ``inside``: for every element the signatures and numbers of its children; ``paths`` and ``up``: its
+    path and parent; ``named``: the elements that are noise by name, ``adverts`` among them.
     """
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, int, int, int]] = []
+        self.blocks: list[tuple[list[tuple[str, int]], int, int]] = []
         self.children: dict[int, list[str]] = {}
         self.inside: list[list[tuple[int, int]]] = [[]]
-        self._text: list[str] = []
+        self.paths, self.up = [0], [0]
+        self.named: set[int] = set()
+        self.adverts: set[int] = set()
+        self._text: list[tuple[str, int]] = []
         self._depth = 0  # open elements that hold all of the text so far
-        self._stack: list[tuple[str, str, int, bool, int]] = []  # name, path, path hash, noise, number
+        # name, path, noise, number, inline element named as noise
+        self._stack: list[tuple[str, str, bool, int, int]] = []
         self._parse(source or "")
 
     def _add(self, piece: str) -> None:
-        if self._stack and self._stack[-1][3]:
+        _, _, noise, number, inline = self._stack[-1] if self._stack else ("", "", False, 0, 0)
+        if noise:
             piece = " "  # noise parts words, as a box of its own would
         elif not self._text or len(self._stack) < self._depth:
             self._depth = len(self._stack)
-            self._before = len(self.inside[self._stack[-1][4] if self._stack else 0])
+            self._before = len(self.inside[number])
         if self._text or piece != " ":
-            self._text.append(piece)
+            self._text.append((piece, inline))
 
     def _flush(self) -> None:
-        if self._text:
-            raw = "".join(self._text)
-            self._text = []
-            text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-            if text:
-                _, _, path, _, number = self._stack[self._depth - 1] if self._depth else ("", "", 0, False, 0)
-                self.blocks.append((text, path, number, self._before))
+        pieces, self._text = self._text, []
+        if not any(inline for _, inline in pieces):
+            pieces = [("".join(piece for piece, _ in pieces), 0)]
+        if any(piece.strip() for piece, _ in pieces):
+            self.blocks.append((pieces, self._stack[self._depth - 1][3] if self._depth else 0, self._before))
 
     def _pop(self, at: int) -> None:
         if at < self._depth:  # the text goes on outside
-            self._before = len(self.inside[self._stack[at - 1][4] if at else 0])
+            self._before = len(self.inside[self._stack[at - 1][3] if at else 0])
             self._depth = at
         del self._stack[at:]
 
@@ -121,23 +131,32 @@ class Page:
                 at = max(i for i, x in enumerate(self._stack) if x[0] == "p")
                 if not any(x[0] in BLOCKS for x in self._stack[at + 1 :]):
                     # inline noise around the block lasts until its own end
-                    inner = [x for x in self._stack[at + 1 :] if x[3]] if not self._stack[at][3] else []
+                    inner = [x for x in self._stack[at + 1 :] if not self._stack[at][2] and (x[2] or x[3] in self.named)]
                     self._stack[at:] = inner
-        sign, noise = signature(name, attributes)
+        sign, noise, named, advert = signature(name, attributes)
         if name == "header" and any(x[0] in ("article", "main") for x in self._stack):
-            noise = False  # an article's own heading
-        parent = self._stack[-1] if self._stack else None
-        if parent and not parent[3]:
-            self.children.setdefault(parent[2], []).append(sign)
+            noise = named = False  # an article's own heading
+        if name == "main" or name == "article" and not any(x[0] == name for x in self._stack):
+            self.named.difference_update(x[3] for x in self._stack)
+        parent = self._stack[-1] if self._stack else ("", "", False, 0, 0)
+        if not parent[2]:
+            self.children.setdefault(self.paths[parent[3]], []).append(sign)
         if name in VOID:
             if name == "br":
                 self._add(" ")
             return
-        path = f"{parent[1]}/{sign}" if parent else sign
+        path = f"{parent[1]}/{sign}"
         number = len(self.inside)
         self.inside.append([])
-        self.inside[parent[4] if parent else 0].append((_path_hash(sign), number))
-        self._stack.append((name, path, _path_hash(path), noise or bool(parent and parent[3]), number))
+        self.inside[parent[3]].append((_path_hash(sign), number))
+        self.paths.append(_path_hash(path))
+        self.up.append(parent[3])
+        if named:
+            self.named.add(number)
+        if advert:
+            self.adverts.add(number)
+        inline = 0 if name in BLOCKS else number if named else parent[4]
+        self._stack.append((name, path, noise or parent[2], number, inline))
 
     def _close(self, name: str) -> None:
         at = next((i for i in range(len(self._stack) - 1, -1, -1) if self._stack[i][0] == name), None)
@@ -216,21 +235,53 @@ class Page:
             found.append(at)
         return style, *found
 
-    def nodes(self) -> list[tuple[str, list[tuple[int, int]]]]:
-        """Every block's text with its nodes in the tree and the text's feature at each."""
+    def parts(self) -> list[list[tuple[str, tuple[int, ...], int]]]:
+        """Every block's pieces with the nodes of the elements around them that are noise by name."""
+        branches: list[tuple[int, ...]] = [()]
+        for number in range(1, len(self.inside)):
+            above = branches[self.up[number]]
+            branch = ADVERT if number in self.adverts else hash((self.paths[number], 4))
+            branches.append((*above, branch) if number in self.named else above)
+        return [[(piece, branches[inline or number], inline) for piece, inline in pieces] for pieces, number, _ in self.blocks]
+
+    def nodes(self) -> list[list[tuple[str, tuple[int, ...], list[tuple[int, int, int]]]]]:
+        """For every block: text, branches named as noise, and path, node and feature at each of its nodes.
+
+        What is inside such a branch within the block is a text of its own.
+        """
         style, first, last = self.places()
         found = []
-        for text, path, number, before in self.blocks:
-            value, after = digest(text), len(self.inside[number]) - before
-            where = (path, hash((first[number], style[number], before, 2)), hash((last[number], style[number], after, 3)))
-            found.append((text, [(node, hash((node, value))) for node in where]))
+        for parts, (_, number, before) in zip(self.parts(), self.blocks):
+            texts: dict[tuple[int, ...], list[str]] = {}
+            holder = {}
+            for piece, branches, inline in parts:
+                texts.setdefault(branches, []).append(piece)
+                holder.setdefault(branches, inline)
+            block = []
+            for branches, pieces in texts.items():
+                if text := clean("".join(pieces)):
+                    value, at, k = digest(text), holder[branches] or number, 0 if holder[branches] else before
+                    back = len(self.inside[at]) - k
+                    where = (self.paths[at], hash((first[at], style[at], k, 2)), hash((last[at], style[at], back, 3)))
+                    block.append((text, branches, [(self.paths[at], node, hash((node, value))) for node in where]))
+            found.append(block)
+        return found
+
+    def texts(self, noise: frozenset[int] = frozenset(), spared: frozenset[int] = frozenset()) -> list[str]:
+        """The main text's blocks without what is noise at one of its nodes, or by a name that is not ``spared``."""
+        gone = [
+            {branches for _, branches, at in block if not noise.isdisjoint([x for _, _, x in at])} for block in self.nodes()
+        ] if noise else [()] * len(self.blocks)
+        found = []
+        for parts, out in zip(self.parts(), gone):
+            kept = [piece if branches not in out and spared.issuperset(branches) else " " for piece, branches, _ in parts]
+            if text := clean("".join(kept)):
+                found.append(text)
         return found
 
-    def texts(self, noise: frozenset[int] | set[int] = frozenset()) -> list[str]:
-        """The main text's blocks without those that are noise at one of their nodes."""
-        if not noise:
-            return [block[0] for block in self.blocks]
-        return [text for text, nodes in self.nodes() if noise.isdisjoint([feature for _, feature in nodes])]
+
+def clean(raw: str) -> str:
+    return " ".join((html.unescape(raw) if "&" in raw else raw).split())
 
 
 @lru_cache(maxsize=8192)
@@ -239,54 +290,78 @@ def _path_hash(path: str) -> int:
 
 
 def site_nodes(pages: DataFrame) -> DataFrame:
-    """``host, page, path, kind, value``, once per page: 0 the page itself, 1 a presentation style, 2 a content feature.
+    """``host, page, path, kind, value, size``, once per page, ``path`` being a node.
 
-    ``page`` is the same for pages of equal text.
+    Kinds: 0 the page itself, 1 a presentation style, 2 a content feature, 3 a text (and its length) in a branch that
+    is named as noise, or on the host.  ``page`` is the same for pages of equal text; texts in named branches, as
+    changing adverts, tell pages apart only for these branches.
     """
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                rows: tuple[list, ...] = ([], [], [], [], [])
+                rows: tuple[list, ...] = ([], [], [], [], [], [])
                 for host, source in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                     page = Page(source)
                     found = set()
-                    nodes = page.nodes()
-                    same = hash(tuple(at[0][1] for _, at in nodes))
-                    for _, at in nodes:
-                        for path, feature in at:
-                            found.add((path, 0, 0))
-                            found.add((path, 2, feature))
-                            if path in page.children:
-                                found.add((path, 1, digest(" ".join(page.children[path]))))
-                    for path, kind, value in found:
-                        for column, v in zip(rows, (host, same, path, kind, value)):
+                    texts = [x for block in page.nodes() for x in block]
+                    every = hash(tuple(at[0][2] for _, _, at in texts))
+                    plain = hash(tuple(at[0][2] for _, branches, at in texts if not branches))
+                    for text, branches, at in texts:
+                        value, same = digest(text), every if branches else plain
+                        found.add((0, ROOT, 3, value, len(text)))
+                        for branch in set(branches) - {ADVERT}:
+                            found.add((every, branch, 0, 0, 0))
+                            found.add((every, branch, 3, value, len(text)))
+                        for path, node, feature in at:
+                            found.add((same, node, 0, 0, 0))
+                            found.add((same, node, 2, feature, 0))
+                            if node == path and path in page.children:
+                                found.add((same, node, 1, digest(" ".join(page.children[path])), 0))
+                    for row in found:
+                        for column, v in zip(rows, (host, *row)):
                             column.append(v)
-                types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(rows, types)], names=["host", "page", "path", "kind", "value"]
+                    [pa.array(v, t) for v, t in zip(rows, types)], names=["host", "page", "path", "kind", "value", "size"]
                 )
 
     return pages.filter(F.col("host").isNotNull()).select("host", "html").mapInArrow(
-        run, "host string, page bigint, path bigint, kind int, value bigint"
+        run, "host string, page bigint, path bigint, kind int, value bigint, size bigint"
     )
 
 
-def noise_texts(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, noise``: the repeated features of the nodes in each host's style tree whose importance is below ``least``."""
-    counted = site_nodes(pages).distinct().groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+def host_noise(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, noise, spared`` from each host's style tree.
+
+    ``noise``: the repeated features of the nodes whose importance is below ``least``; ``spared``: the branches named
+    as noise that have at least this importance and hold more than half of the host's distinct text.
+    """
+    counted = site_nodes(pages).distinct().groupBy("host", "path", "kind", "value").agg(
+        F.count("*").alias("n"), F.max("size").alias("size")
+    )
     # sums from which both entropies follow: of n, of n ln n, and of ln n over the values
     node = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
         F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("s"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.ln("n"))).alias("s_ln"),
-        F.avg(F.when(F.col("kind") == 2, F.ln("n"))).alias("c_ln"),
+        F.avg(F.when(F.col("kind") >= 2, F.ln("n"))).alias("c_ln"),
+        F.sum(F.when(F.col("kind") == 3, F.col("size"))).alias("chars"),
         F.collect_list(F.when((F.col("kind") == 2) & (F.col("n") > 1), F.col("value"))).alias("repeated"),
     )
     presentation = F.coalesce(F.expr("(ln(s) - s_ln / s) / ln(m)"), F.lit(0.0))
     content = F.lit(1.0) - F.coalesce(F.expr("c_ln / ln(m)"), F.lit(0.0))
-    low = node.filter(F.col("m") >= max(2, min_pages)).filter(F.greatest(presentation, content) < least)
-    return low.groupBy("host").agg(F.flatten(F.collect_list("repeated")).alias("noise"))
+    known = F.col("m") >= max(2, min_pages)
+    low = F.greatest(presentation, content) < least
+    return (
+        node.groupBy("host")
+        .agg(
+            F.flatten(F.collect_list(F.when(known & low & F.isnull("chars"), F.col("repeated")))).alias("noise"),
+            F.collect_list(F.when(known & ~low & F.isnotnull("chars"), F.struct("path", "chars"))).alias("high"),
+            F.max(F.when(F.col("path") == ROOT, F.col("chars"))).alias("total"),
+        )
+        .select("host", "noise", F.expr("transform(filter(high, x -> 2 * x.chars > total), x -> x.path)").alias("spared"))
+    )
 
 
 def main_text(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -298,15 +373,15 @@ def main_text(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int =
     """
     host = F.nullif(F.lower(F.regexp_extract("url", r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#\s]*)", 1)), F.lit(""))
     source = pages.select("page_id", "url", "html", host.alias("host"))
-    paths = materialise(noise_texts(source, least, min_pages), "style-tree")
-    joined = source.join(paths, "host", "left").select("page_id", "url", "html", "noise")
+    tree = materialise(host_noise(source, least, min_pages), "style-tree")
+    joined = source.join(tree, "host", "left").select("page_id", "url", "html", "noise", "spared")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
                 texts = []
-                for body, noise in zip(part.column("html").to_pylist(), part.column("noise").to_pylist()):
-                    texts.append("\n".join(Page(body).texts(frozenset(noise or ()))))
+                for body, *lists in zip(*(part.column(x).to_pylist() for x in ("html", "noise", "spared"))):
+                    texts.append("\n".join(Page(body).texts(*(frozenset(x or ()) for x in lists))))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
