@@ -265,7 +265,7 @@ def community_rounds(spark, sf_dir):
 
 @query("community_sweep")
 def community_sweep(spark, sf_dir):
-    """All six resolutions to convergence."""
+    """All six resolutions until no move gains."""
     edges = neighbors.symmetric_edges(neighbors.knn_graph(bind.vecs(spark, sf_dir)))
     return communities.communities(edges)
 
