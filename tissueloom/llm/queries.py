@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tissueloom.llm import bpe, language, lines, mtree, packing, pages, pii, quality, sketch, toxicity
+from tissueloom.llm import alignment, bpe, language, lines, mtree, packing, pages, pii, quality, sketch, toxicity
 from tissueloom.llm.common import table
 from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL, TOP_SQL
 
@@ -79,6 +79,12 @@ def op10(spark, sf_dir):
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *sides)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
