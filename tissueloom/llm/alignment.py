@@ -33,8 +33,8 @@ HEAD_PAIRS = 1 << 20
 #: Characters of distinct chunks that a worker remembers from task to task, and chunks encoded in one call
 #: (longer ones than ``LONG`` characters alone).
 MEMORY_CHARS, TOGETHER, LONG = 10_000_000, 256, 1_000
-#: Links that are counted together inside a task.
-COUNTED = 2_000_000
+#: Characters aligned at once (a longer text alone), and links that are counted together inside a task.
+ALIGNED_CHARS, COUNTED = 1_000_000, 2_000_000
 SPACE = "▁"
 #: A space that no token of either side crosses: both neighbours are no white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -258,7 +258,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         return work
 
     ddl = "groups array<struct<start: bigint, end: bigint, a_ids: array<int>, b_ids: array<int>>>"
-    return map_texts(docs, ["doc_id"], ddl, build).select("doc_id", F.explode("groups").alias("g")).select("doc_id", "g.*")
+    return map_texts(docs, ["doc_id"], ddl, build, most_chars=ALIGNED_CHARS).select("doc_id", F.explode("groups").alias("g")).select("doc_id", "g.*")
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -284,7 +284,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         return work
 
     ddl = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, a array<int>, b array<int>, times array<int>"
-    return map_texts(docs, ["doc_id"], ddl, build)
+    return map_texts(docs, ["doc_id"], ddl, build, most_chars=ALIGNED_CHARS)
 
 
 def _flat(batch: pa.RecordBatch, name: str) -> np.ndarray:

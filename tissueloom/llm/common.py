@@ -27,12 +27,12 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def slices(batch: pa.RecordBatch, text: str):
+def slices(batch: pa.RecordBatch, text: str, most_chars: int = SLICE_CHARS):
     """The batch cut into pieces of bounded rows and characters; a single text is never cut."""
     sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     start = chars = 0
     for i, n in enumerate(sizes):
-        if i > start and (i - start >= SLICE_ROWS or chars + n > SLICE_CHARS):
+        if i > start and (i - start >= SLICE_ROWS or chars + n > most_chars):
             yield batch.slice(start, i - start)
             start, chars = i, 0
         chars += int(n)
@@ -49,7 +49,12 @@ def release() -> None:
 
 
 def map_texts(
-    docs: DataFrame, keep: Sequence[str], outputs: str, build: Callable[[], Callable], text: str = "text"
+    docs: DataFrame,
+    keep: Sequence[str],
+    outputs: str,
+    build: Callable[[], Callable],
+    text: str = "text",
+    most_chars: int = SLICE_CHARS,
 ) -> DataFrame:
     """One output row per document: the ``keep`` columns, then ``outputs`` (DDL).
 
@@ -63,7 +68,7 @@ def map_texts(
     def run(batches):
         work = build()
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", most_chars):
                 values = work(part.column("__text").to_pylist())
                 columns = [part.column(c) for c in keep]
                 for v, field in zip(values, list(arrow)[len(keep) :], strict=True):

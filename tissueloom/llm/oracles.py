@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from tissueloom.llm.quality import STOP_WORDS
 
+#: The rules of the url query: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -78,3 +87,35 @@ s AS (
   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+URLS_SQL = f"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+p AS (
+  SELECT page_id, {LOWERED.format("regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 1)")} AS host,
+    regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+u AS (SELECT DISTINCT host, path FROM p),
+fit AS (
+  SELECT u.host, u.path, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY u.host, u.path ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS n
+  FROM u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path))
+SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND n = 1"""
+
+RANK_SQL = f"""
+WITH t AS (
+  SELECT doc_id, rowid AS r, unnest(regexp_extract_all({LOWERED.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS rowid FROM documents)),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark),
+n AS (SELECT r, doc_id, count(*) AS n FROM t GROUP BY ALL),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM n),
+f AS (SELECT r, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+d AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM d, s),
+scored AS (
+  SELECT item_id, n.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // len)))) AS BIGINT) AS score
+  FROM i JOIN w ON i.term = w.term JOIN f ON f.term = w.term JOIN n ON n.r = f.r, s GROUP BY item_id, n.r, n.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""

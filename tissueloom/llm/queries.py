@@ -8,9 +8,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tissueloom.llm import alignment, bpe, language, lines, mtree, packing, pages, pii, quality, sketch, toxicity
+from tissueloom.llm import alignment, bpe, language, lexical, lines, mtree, packing, pages, pii, quality, sketch, toxicity, urls
 from tissueloom.llm.common import table
-from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL, TOP_SQL
+from tissueloom.llm.oracles import LINES_SQL, NEAR_SQL, QUALITY_SQL, RANK_SQL, TOP_SQL, URL_RULES, URLS_SQL
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -79,12 +79,23 @@ def op10(spark, sf_dir):
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op11_url_filter", URLS_SQL)
+def op11(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align(table(spark, sf_dir, "documents"), *sides)
 
 
+@query("op13_norm_bucket_search", RANK_SQL)
+def op13(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
