@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueloom.operators import align, annotate, communities, lineage, markers, neighbors, reduce
+from tissueloom.operators import align, annotate, communities, leiden, lineage, markers, neighbors, reduce
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
 from tissueloom.plans.registry import query, rd
@@ -267,7 +267,34 @@ def community_rounds(spark, sf_dir):
 def community_sweep(spark, sf_dir):
     """All six resolutions until no move gains."""
     edges = neighbors.symmetric_edges(neighbors.knn_graph(bind.vecs(spark, sf_dir)))
-    return communities.communities(edges)
+    return leiden.refined_communities(edges)
+
+
+@query(
+    "community_checks",
+    """SELECT 1.2::DOUBLE AS resolution, count(*) AS nodes, 0 AS unconnected, 0 AS gaining, true AS above_labels
+       FROM embeddings""",
+)
+def community_checks(spark, sf_dir):
+    """What must hold of communities: all nodes, each connected, no single move gains, above the planted labels."""
+    edges = materialise(neighbors.symmetric_edges(neighbors.knn_graph(bind.vecs(spark, sf_dir))), "graph")
+    return leiden.checks(edges, leiden.refined_communities(edges, (1.2,)), bind.groups(spark, sf_dir))
+
+
+@query(
+    "community_planted",
+    """WITH sizes AS (SELECT vec_id // 8 AS g, row_number() OVER (ORDER BY count(*) DESC, min(vec_id)) - 1 AS community
+         FROM embeddings GROUP BY 1)
+       SELECT resolution, vec_id AS node, community FROM embeddings JOIN sizes ON vec_id // 8 = g,
+         (SELECT unnest([1.2::DOUBLE, 1.4::DOUBLE, 1.6::DOUBLE, 1.8::DOUBLE, 2.0::DOUBLE, 2.2::DOUBLE]) AS resolution)""",
+)
+def community_planted(spark, sf_dir):
+    """Groups of eight cells, all linked, in a ring of faint links: every resolution finds the groups."""
+    cells = bind.vecs(spark, sf_dir).select(F.col("cell").alias("i"), F.expr("cell div 8").alias("g"))
+    others = cells.select(F.col("i").alias("j"), "g")
+    inner = cells.join(others, "g").filter("i <> j").select("i", "j", F.lit(1.0).alias("w"))
+    ring = cells.filter("i % 8 = 0 AND i > 0").select("i", (F.col("i") - 1).alias("j"), F.lit(1e-4).alias("w"))
+    return leiden.refined_communities(inner.unionByName(ring).unionByName(ring.select(F.col("j").alias("i"), F.col("i").alias("j"), "w")))
 
 
 # --- markers ---------------------------------------------------------------------------------
