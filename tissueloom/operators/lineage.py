@@ -299,3 +299,33 @@ def lineage_wide(median: DataFrame, states: list[str]) -> DataFrame:
     return (
         median.groupBy(*PAIR, "nex_state").pivot("pre_state", states).agg(F.first("prob"))
     )
+
+
+def lineage_paths(edges: DataFrame) -> DataFrame:
+    """Most likely chain between every two nodes that one connects: ``by…, src, dst, prob, steps, path``.
+
+    ``edges``: ``by…, parent, child, prob`` with ``prob`` above 0 and at most 1 (others are left out); of repeated edges the
+    best counts.  A chain's probability is the product along it; ties (12 digits) go to fewer steps, then to the
+    smaller path.  Each round lengthens only the chains that the last one found or bettered, and keeps one per pair;
+    it ends when none gets better, after as many rounds as the longest best chain has steps.
+    """
+    by = [c for c in edges.columns if c not in ("parent", "child", "prob")]
+    links = edges.filter("prob > 0 AND prob <= 1 AND parent <> child").groupBy(*by, "parent", "child").agg(F.max("prob").alias("step"))
+    links = materialise(links, "links")
+    key = [*by, "src", "dst"]
+    rank = F.struct((-F.round("prob", 12)).alias("p"), "steps", "path")
+    best = links.select(
+        *by, F.col("parent").alias("src"), F.col("child").alias("dst"), F.col("step").alias("prob"), F.lit(1).alias("steps"),
+        F.array("parent", "child").alias("path"), F.lit(True).alias("fresh"),
+    )
+    while True:
+        ahead = links.withColumnRenamed("parent", "dst")
+        longer = best.filter("fresh").join(ahead, [*by, "dst"]).filter("src <> child").select(
+            *by, "src", F.col("child").alias("dst"), (F.col("prob") * F.col("step")).alias("prob"),
+            (F.col("steps") + 1).alias("steps"), F.concat("path", F.array("child")).alias("path"), F.lit(True).alias("fresh"),
+        )
+        both = best.withColumn("fresh", F.lit(False)).unionByName(longer)
+        found = both.groupBy(*key).agg(F.min_by(F.struct("prob", "steps", "path", "fresh"), F.struct(rank, "fresh")).alias("b"))
+        best = materialise(found.select(*key, "b.*"), "paths")
+        if best.filter("fresh").isEmpty():
+            return best.drop("fresh")

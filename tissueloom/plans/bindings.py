@@ -203,6 +203,31 @@ def transitions_table(spark, sf_dir) -> DataFrame:
     return pairs.join(total, "child").selectExpr("parent", "child", "round(n / t, 6) AS prob")
 
 
+def line_chain(spark, sf_dir) -> DataFrame:
+    """Share of each state of the next line of an order that comes from each state of this line."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber AS n", "concat(l_returnflag, l_linestatus, l_suppkey % 2) AS state"
+    )
+    after = lines.selectExpr("l_orderkey", "n - 1 AS n", "state AS next")
+    pairs = lines.join(after, ["l_orderkey", "n"]).groupBy("n", "state", "next").agg(F.count("*").alias("k"))
+    total = pairs.groupBy("n", "next").agg(F.sum("k").alias("t"))
+    return pairs.join(total, ["n", "next"]).selectExpr(
+        "concat('E', n, ':', state) AS parent", "concat('E', n + 1, ':', next) AS child", "round(k / t, 6) AS prob"
+    )
+
+
+def outlines(spark, sf_dir) -> DataFrame:
+    """Per slice an outer ring, a hole and a thin triangle, moved by the slice's number."""
+    rings = [
+        (0, [(110, 210), (180, 205), (195, 290), (150, 250), (105, 285)]),
+        (1, [(140, 230), (160, 230), (160, 245), (140, 245)]),
+        (2, [(101, 203), (199, 201), (150, 202)]),
+    ]
+    points = ", ".join(f"struct({r} AS ring, {i} AS seq, {x} AS x, {y} AS y)" for r, ring in rings for i, (x, y) in enumerate(ring))
+    slices = spots(spark, sf_dir).select("slice").distinct().selectExpr("slice", "cast(right(slice, 1) AS int) AS n")
+    return slices.selectExpr("slice", "n", f"inline(array({points}))").selectExpr("slice", "ring", "seq", "x + n % 3 AS x", "y + n AS y")
+
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "spots": (
         """SELECT 'L3-early_a_S0' || l_linenumber AS slice,
@@ -355,6 +380,22 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
            FROM (SELECT DISTINCT slice FROM spots)""",
         ("spots",),
     ),
+    "line_chain": (
+        """SELECT 'E' || n || ':' || state AS parent, 'E' || (n + 1) || ':' || next AS child,
+             round(count(*) / sum(count(*)) OVER (PARTITION BY n, next), 6) AS prob
+           FROM (SELECT l_orderkey, l_linenumber AS n, l_returnflag || l_linestatus || l_suppkey % 2 AS state FROM lineitem)
+           JOIN (SELECT l_orderkey, l_linenumber - 1 AS n, l_returnflag || l_linestatus || l_suppkey % 2 AS next FROM lineitem)
+             USING (l_orderkey, n) GROUP BY n, state, next""",
+        (),
+    ),
+    "outlines": (
+        """SELECT slice, ring, seq, x + n % 3 AS x, y + n AS y FROM
+             (SELECT DISTINCT slice, CAST(right(slice, 1) AS INTEGER) AS n FROM spots),
+             (VALUES (0, 0, 110, 210), (0, 1, 180, 205), (0, 2, 195, 290), (0, 3, 150, 250), (0, 4, 105, 285),
+               (1, 0, 140, 230), (1, 1, 160, 230), (1, 2, 160, 245), (1, 3, 140, 245),
+               (2, 0, 101, 203), (2, 1, 199, 201), (2, 2, 150, 202)) v(ring, seq, x, y)""",
+        ("spots",),
+    ),
     "edge_table": (
         """SELECT parent, child, round(n / sum(n) OVER (PARTITION BY child), 6) AS prob FROM (
              SELECT 'E' || l_linenumber || ':early/' || l_returnflag || ' ' || l_linestatus AS parent,

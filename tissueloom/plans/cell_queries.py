@@ -190,6 +190,26 @@ def lineage_sweep(spark, sf_dir):
     return r6(lineage.lineage_median(_transitions(spark, sf_dir, lineage.REPLICATES)), "prob")
 
 
+@query(
+    "lineage_paths",
+    with_ctes(
+        """SELECT src, dst, round(prob, 9) AS prob, steps, array_to_string(path, '>') AS path FROM (
+             SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY round(prob, 12) DESC, steps, path) AS rn FROM walk)
+           WHERE rn = 1""",
+        "line_chain",
+        extra={
+            "walk": """SELECT parent AS src, child AS dst, prob, 1 AS steps, [parent, child] AS path FROM line_chain
+              UNION ALL SELECT w.src, e.child, w.prob * e.prob, w.steps + 1, list_append(w.path, e.child)
+              FROM walk w JOIN line_chain e ON w.dst = e.parent"""
+        },
+        recursive=True,
+    ),
+)
+def lineage_paths(spark, sf_dir):
+    found = lineage.lineage_paths(bind.line_chain(spark, sf_dir))
+    return r6(found.withColumn("path", F.array_join("path", ">")), "prob", digits=9)
+
+
 # --- neighbours and communities --------------------------------------------------------------
 
 

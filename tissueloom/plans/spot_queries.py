@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueloom.operators import names, normalize, pixels, qc
+from tissueloom.operators import local, names, normalize, outline, pixels, qc
 from tissueloom.operators import spots as sp
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
@@ -602,3 +602,62 @@ def segment_cells(spark, sf_dir):
 )
 def tile_cdf(spark, sf_dir):
     return pixels.tile_cdf(materialise(bind.image(spark, sf_dir), "image"))
+
+
+# --- outlines and local brightness -----------------------------------------------------------
+
+
+@query(
+    "outline_crop",
+    with_ctes(
+        """SELECT s.slice, gene, s.x, s.y, cnt FROM spots s SEMI JOIN (
+             SELECT slice, px, py FROM hit GROUP BY slice, px, py HAVING sum(crossed) % 2 = 1 OR bool_or(on_edge)) i
+           ON s.slice = i.slice AND s.x = px AND s.y = py""",
+        "pixels", "outlines",
+        extra={
+            "sides": """SELECT slice, x AS x1, y AS y1, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
+              coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2 FROM outlines WINDOW w AS (PARTITION BY slice, ring ORDER BY seq)""",
+            "hit": """SELECT p.slice, p.x AS px, p.y AS py,
+              CASE WHEN (y1 > p.y) <> (y2 > p.y) AND p.x < x1 + (p.y - y1) * (x2 - x1)::DOUBLE / (y2 - y1) THEN 1 ELSE 0 END AS crossed,
+              (x2 - x1) * (p.y - y1) = (y2 - y1) * (p.x - x1) AND p.x BETWEEN least(x1, x2) AND greatest(x1, x2)
+                AND p.y BETWEEN least(y1, y2) AND greatest(y1, y2) AS on_edge
+              FROM pixels p JOIN sides USING (slice)""",
+        },
+    ),
+)
+def outline_crop(spark, sf_dir):
+    return outline.crop_to_outline(bind.spots(spark, sf_dir), bind.outlines(spark, sf_dir))
+
+
+def _box(source: str, reach: str, result: str) -> str:
+    """``result`` over the pixels of ``source`` at most ``reach`` columns and rows away."""
+    return f"""SELECT a.slice, a.x, a.y, {result} AS value FROM {source} a JOIN params p USING (slice)
+      JOIN (SELECT slice, x, y, value, unnest(range(-8, 9)) AS dx FROM {source}) b
+        ON b.slice = a.slice AND b.x + dx = a.x AND abs(dx) <= {reach} AND abs(b.y - a.y) <= {reach} GROUP BY a.slice, a.x, a.y"""
+
+
+_LOCAL = {
+    "sharp": _box(
+        "image", "radius",
+        "greatest(least(round(any_value(a.value) + any_value(amount) * (any_value(a.value) - avg(b.value)), 6), 255.0::DOUBLE), 0.0::DOUBLE)",
+    ),
+    "cutoff": _box("sharp", "block_size // 2", "round(any_value(a.value), 6) > round(avg(b.value), 6)"),
+}
+
+
+@query("sharpen", with_ctes("SELECT slice, x, y, round(value, 6) AS value FROM sharp", "image", "params", extra=_LOCAL))
+def sharpen(spark, sf_dir):
+    return local.sharpen(bind.image(spark, sf_dir), bind.params(spark, sf_dir))
+
+
+@query("local_foreground", with_ctes("SELECT slice, x, y FROM cutoff WHERE value", "image", "params", extra=_LOCAL))
+def local_foreground(spark, sf_dir):
+    params = bind.params(spark, sf_dir)
+    return local.local_foreground(local.sharpen(bind.image(spark, sf_dir), params), params)
+
+
+@query("segment_locally")
+def segment_locally(spark, sf_dir):
+    """Labels by all parameters of a slice: sharpened, cut, connected and grown."""
+    image = materialise(bind.image(spark, sf_dir), "image")
+    return local.segment_cells_locally(image, bind.params(spark, sf_dir))
