@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueloom.operators import align, annotate, communities, leiden, lineage, markers, neighbors, reduce
+from tissueloom.operators import align, annotate, communities, grid, leiden, lineage, longpca, markers, neighbors, normalize, qc, reduce
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
 from tissueloom.plans.registry import query, rd
+from tissueloom.plans.spot_queries import RESID_SQL
 from tissueloom.sources.storage import materialise
 
 REPLICATES = lineage.REPLICATES
@@ -251,6 +252,36 @@ def knn_edges(spark, sf_dir):
     return neighbors.symmetric_edges(neighbors.knn_graph(bind.vecs(spark, sf_dir)))
 
 
+@query(
+    "space_neighbors",
+    with_ctes(
+        """SELECT src, dst, rank, round(d * d, 6) AS d2 FROM (
+             SELECT a.cell AS src, b.cell AS dst, list_distance(a.xyz, b.xyz) AS d,
+               row_number() OVER (PARTITION BY a.cell ORDER BY list_distance(a.xyz, b.xyz), b.cell) AS rank
+             FROM vecs a JOIN vecs b ON a.cell <> b.cell) WHERE rank <= 6""",
+        "vecs",
+    ),
+)
+def space_neighbors(spark, sf_dir):
+    return r6(grid.grid_knn(bind.vecs(spark, sf_dir), 6), "d2")
+
+
+@query(
+    "cell_neighbors",
+    with_ctes(
+        """SELECT slice, src, dst, rank, round(d2, 6) AS d2 FROM (
+             SELECT a.slice, a.cell AS src, b.cell AS dst, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS d2,
+               row_number() OVER (PARTITION BY a.slice, a.cell ORDER BY (a.x - b.x) ** 2 + (a.y - b.y) ** 2, b.cell) AS rank
+             FROM cells a JOIN cells b ON a.slice = b.slice AND a.cell <> b.cell) WHERE rank <= 6""",
+        "cells",
+    ),
+)
+def cell_neighbors(spark, sf_dir):
+    """Cells on a regular raster: most distances are tied."""
+    cells = bind.cells(spark, sf_dir).select("slice", "cell", F.array("x", "y").alias("xyz"))
+    return r6(grid.grid_knn(cells, 6, by=["slice"]), "d2")
+
+
 def _rounds(n: int) -> dict[str, str]:
     parts = dict(_GRAPH)
     parts["deg"] = "SELECT i, count(*)::DOUBLE AS k FROM sym GROUP BY i"
@@ -675,3 +706,54 @@ def n_components(spark, sf_dir):
     """Components of the loading matrix that explain 90 % of its variance."""
     found, _ = reduce.fit_pca(bind.vecs(spark, sf_dir).select("cell", "vec"))
     return reduce.n_components(reduce.loadings_table(found, spark))
+
+
+# --- stacked slices --------------------------------------------------------------------------
+
+
+def _residuals(spark, sf_dir):
+    counts = materialise(bind.counts(spark, sf_dir), "counts")
+    resid = normalize.pearson_resid(qc.qc_filter(counts, bind.cells(spark, sf_dir)))
+    return materialise(resid.select("slice", "cell", "gene", F.col("resid").alias("value")), "residuals")
+
+
+@query(
+    "stacked_vectors",
+    with_ctes(
+        f"""SELECT a.slice, a.cell, round(any_value(c.x), 6) AS x, round(any_value(c.y), 6) AS y, CAST(right(a.slice, 1) AS INTEGER) * 14.0 AS z,
+              {rd('sqrt(sum((coalesce(resid, 0) - mean) ** 2))', 5)} AS norm
+            FROM (SELECT slice, cell, gene, mean FROM placed, means) a
+            JOIN cells c ON c.slice = a.slice AND c.cell = a.cell
+            LEFT JOIN resid_tab r ON r.slice = a.slice AND r.cell = a.cell AND r.gene = a.gene GROUP BY a.slice, a.cell""",
+        "kept", "cells",
+        extra={
+            "resid_tab": RESID_SQL,
+            "placed": "SELECT DISTINCT slice, cell FROM resid_tab",
+            "means": "SELECT gene, sum(resid) / (SELECT count(*) FROM placed) AS mean FROM resid_tab GROUP BY gene",
+        },
+    ),
+)
+def stacked_vectors(spark, sf_dir):
+    """From spots to vectors over slices whose cell ids repeat; with all components scores keep the length."""
+    found = longpca.fit_pca_long(_residuals(spark, sf_dir), 1000)
+    placed = longpca.numbered_cells(found.scores, bind.cells(spark, sf_dir))
+    square = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)
+    place = [F.round(F.col("xyz")[i], 6).alias(c) for i, c in enumerate("xyz")]
+    return placed.select("slice", F.col("slice_cell").alias("cell"), *place, F.round(F.sqrt(square), 5).alias("norm"))
+
+
+@query("stacked_markers")
+def stacked_markers(spark, sf_dir):
+    """From spots to ranked markers: residuals, components, graph in both spaces, communities, Welch ranks.
+
+    The counts hold no planted groups, so five rounds of components and two of communities must do here.
+    """
+    values = _residuals(spark, sf_dir)
+    found = longpca.fit_pca_long(values, 20, rounds=5)
+    placed = longpca.numbered_cells(found.scores, bind.cells(spark, sf_dir))
+    near = neighbors.knn_join(placed, placed, 15, exclude_self=True).select("src", "dst")
+    beside = grid.grid_knn(placed, 6).select("src", "dst")
+    edges = neighbors.symmetric_edges(near.unionByName(beside))
+    groups = communities.communities(materialise(edges, "graph"), (1.2,), rounds=2, levels=1).select(F.col("node").alias("cell"), F.col("community").alias("group"))
+    top = markers.rank_markers(longpca.by_number(values, placed), materialise(groups, "groups"))
+    return r6(top.select("group", "gene", "rank", "score"), "score")

@@ -409,15 +409,14 @@ def qc_summary(spark, sf_dir):
     return r6(summary, "mean_area", "mean_n_genes", "mean_n_counts")
 
 
-_RESID = {
-    "resid_tab": """SELECT g.slice, c.cell, g.gene, coalesce(k.cnt, 0) AS cnt,
-        least(greatest((coalesce(k.cnt, 0) - c.r * g.s / t.t) / sqrt(c.r * g.s / t.t + (c.r * g.s / t.t) ** 2 / 100.0::DOUBLE),
-          -sqrt(t.n)), sqrt(t.n)) AS resid
-      FROM (SELECT slice, gene, sum(cnt)::DOUBLE AS s FROM kept GROUP BY ALL) g
-      JOIN (SELECT slice, cell, sum(cnt)::DOUBLE AS r FROM kept GROUP BY ALL) c USING (slice)
-      JOIN (SELECT slice, sum(cnt)::DOUBLE AS t, count(DISTINCT cell) AS n FROM kept GROUP BY ALL) t USING (slice)
-      LEFT JOIN kept k ON k.slice = g.slice AND k.cell = c.cell AND k.gene = g.gene"""
-}
+RESID_SQL = """SELECT g.slice, c.cell, g.gene, coalesce(k.cnt, 0) AS cnt,
+    least(greatest((coalesce(k.cnt, 0) - c.r * g.s / t.t) / sqrt(c.r * g.s / t.t + (c.r * g.s / t.t) ** 2 / 100.0::DOUBLE),
+  -sqrt(t.n)), sqrt(t.n)) AS resid
+  FROM (SELECT slice, gene, sum(cnt)::DOUBLE AS s FROM kept GROUP BY ALL) g
+  JOIN (SELECT slice, cell, sum(cnt)::DOUBLE AS r FROM kept GROUP BY ALL) c USING (slice)
+  JOIN (SELECT slice, sum(cnt)::DOUBLE AS t, count(DISTINCT cell) AS n FROM kept GROUP BY ALL) t USING (slice)
+  LEFT JOIN kept k ON k.slice = g.slice AND k.cell = c.cell AND k.gene = g.gene"""
+_RESID = {"resid_tab": RESID_SQL}
 
 
 @query(
