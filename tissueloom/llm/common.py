@@ -27,12 +27,12 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def slices(batch: pa.RecordBatch, text: str, most_chars: int = SLICE_CHARS):
+def slices(batch: pa.RecordBatch, text: str, most_chars: int = SLICE_CHARS, rows: int = SLICE_ROWS):
     """The batch cut into pieces of bounded rows and characters; a single text is never cut."""
     sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     start = chars = 0
     for i, n in enumerate(sizes):
-        if i > start and (i - start >= SLICE_ROWS or chars + n > most_chars):
+        if i > start and (i - start >= rows or chars + n > most_chars):
             yield batch.slice(start, i - start)
             start, chars = i, 0
         chars += int(n)

@@ -17,6 +17,7 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
@@ -28,6 +29,8 @@ from tissueloom.sources.storage import materialise
 CAPACITY, END_ID = 2048, 0
 #: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
 MEMORY, LONGEST_KEPT = 1_390_000, 64
+#: Texts whose chunks are numbered together.
+ROWS_TOGETHER = 2_048
 #: Last character of the blocks whose letters are single code points that lower-casing and NFC treat alone.
 LATIN_END = "\u024f"
 #: Pieces of one (length, bucket) group that are numbered together.
@@ -112,29 +115,35 @@ class ChunkTokenizer:
             out[c] = (ids[word] if word in ids else known[word]) + tails[tail]
         return ids | out
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        known, get = self.known, self.known.__getitem__
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text's ids end.
+
+        Arrow splits the texts and numbers the distinct chunks; Python looks at each of these once.
+        """
+        parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        chunks = parts.flatten().dictionary_encode()
+        known, distinct = self.known, chunks.dictionary.to_pylist()
         known.lacking = set()
-        split, found, short = [], [], []
-        for i, text in enumerate(texts):
-            chunks = (text or "").replace("\n", " ").split(" ")
-            before, ids = len(known.lacking), list(map(get, chunks))
-            split.append(chunks)
-            found.append(ids)
-            # a chunk noted by an earlier text does not grow the set, so such texts are searched
-            if len(known.lacking) > before or (before and None in ids):
-                short.append(i)
+        ids = list(map(known.__getitem__, distinct))
         if known.lacking:
             once = self._fresh(known.lacking)
-            for i in short:
-                ids, chunks = found[i], split[i]
-                for k in [k for k, own in enumerate(ids) if own is None]:
-                    ids[k] = once[chunks[k]]
+            ids = [once[c] if own is None else own for c, own in zip(distinct, ids)]
             if len(known) + len(once) > MEMORY:
                 known = self.known = Known()
-            known.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
-        return [b"".join(ids) for ids in found]
+            known.update((c, own) for c, own in once.items() if len(c) <= LONGEST_KEPT)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        code = chunks.indices.to_numpy()
+        size = size[code]
+        ends = np.cumsum(size)
+        table = np.frombuffer(b"".join(ids), "<u4")
+        found = table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[code] - ends + size, size)]
+        return found, np.r_[0, ends][parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        ids, ends = self.encode_batch(pa.array(texts, pa.string()))
+        return [own.tobytes() for own in np.split(ids, ends[:-1])] if len(ends) else []
 
 
 @lru_cache(maxsize=1)
@@ -152,25 +161,29 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
         chunks = chunk_tokenizer(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
-                rows: tuple[list, ...] = ([], [], [], [], [], [])
-                for doc, ids in zip(part.column(0).to_pylist(), chunks.encode_all(part.column(1).to_pylist())):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        for column, v in zip(rows, (doc, k, at // 4, len(own) // 4, zlib.crc32(own))):
-                            column.append(v)
-                        if keep_ids:
-                            rows[5].append(np.frombuffer(own, "<u4").astype(np.int32))
-                columns = [pa.array(v, t) for v, t in zip(rows, (pa.int64(), pa.int32(), *[pa.int64()] * 3))]
+            for part in slices(batch, "text", rows=ROWS_TOGETHER):
+                ids, ends = chunks.encode_batch(part.column(1))
+                ids = np.insert(ids, ends, END_ID)  # every document's end id
+                ends = ends + np.arange(1, len(ends) + 1)
+                begin = np.r_[0, ends[:-1]]
+                pieces = -(-(ends - begin) // capacity)
+                of = np.repeat(np.arange(len(ends)), pieces)
+                number = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = number * capacity
+                length = np.minimum(ends[of] - begin[of] - start, capacity)
+                at, raw = (begin[of] + start) * 4, memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(raw[i:j]) for i, j in zip(at.tolist(), (at + length * 4).tolist())]
+                columns = [part.column(0).take(pa.array(of)), pa.array(number, pa.int32())]
+                columns += [pa.array(x, pa.int64()) for x in (start, length, crc)]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if keep_ids:
-                    columns, names = [*columns, pa.array(rows[5], pa.list_(pa.int32()))], [*names, "ids"]
+                if keep_ids:  # pieces stand end to end
+                    cuts = pa.array(np.r_[0, np.cumsum(length)], pa.int32())
+                    columns.append(pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32))))
+                    names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ddl = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
