@@ -27,8 +27,9 @@ from tissueloom.sources.storage import materialise
 
 #: Tokens in a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
-#: Chunks whose ids a worker remembers from task to task; a chunk longer than this many characters is not kept.
-MEMORY, LONGEST_KEPT = 1_390_000, 64
+#: Chunks of one generation whose ids a worker remembers from task to task; a chunk longer than this many characters is
+#: not kept.
+MEMORY, LONGEST_KEPT = 700_000, 64
 #: Texts whose chunks are numbered together.
 ROWS_TOGETHER = 2_048
 #: Last character of the blocks whose letters are single code points that lower-casing and NFC treat alone.
@@ -38,14 +39,30 @@ GROUP_ROWS = 50_000
 
 
 class Known(dict):
-    """Ids of chunks; looking up an unknown chunk notes it and gives ``None``."""
+    """Ids of chunks in two generations; looking up an unknown chunk notes it and gives ``None``.
+
+    A full generation becomes the old one, whose chunks move over when they are met again.
+    """
 
     def __init__(self):
         super().__init__({"": b""})
+        self.old: dict[str, bytes] = {}
         self.lacking: set[str] = set()
 
-    def __missing__(self, chunk: str) -> None:
-        self.lacking.add(chunk)
+    def __missing__(self, chunk: str) -> bytes | None:
+        ids = self.old.get(chunk)
+        if ids is None:
+            self.lacking.add(chunk)
+        else:
+            self[chunk] = ids
+        return ids
+
+    def learn(self, once: dict[str, bytes]) -> None:
+        if len(self) + len(once) > MEMORY:
+            self.old = dict(self)
+            self.clear()
+            self[""] = b""
+        self.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
 
 
 class ChunkTokenizer:
@@ -105,8 +122,8 @@ class ChunkTokenizer:
                 cased.add(word)
             else:
                 others.append(c)
-        ids = self._words([w for w in plain if w not in known], self.plain)
-        ids |= self._words([w for w in cased if w not in known], self.tokenizer)
+        ids = self._words([w for w in plain if w not in known and w not in known.old], self.plain)
+        ids |= self._words([w for w in cased if w not in known and w not in known.old], self.tokenizer)
         tails = self._marks
         if not tails:
             tails.update(zip(["", *marks], [b"", *self._ids(list(marks))]))
@@ -128,9 +145,7 @@ class ChunkTokenizer:
         if known.lacking:
             once = self._fresh(known.lacking)
             ids = [once[c] if own is None else own for c, own in zip(distinct, ids)]
-            if len(known) + len(once) > MEMORY:
-                known = self.known = Known()
-            known.update((c, own) for c, own in once.items() if len(c) <= LONGEST_KEPT)
+            known.learn(once)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.cumsum(size) - size
         code = chunks.indices.to_numpy()
