@@ -1,5 +1,7 @@
 """The style tree of ``pages`` against pages whose main text is known."""
 
+import time
+
 from tissueloom.llm import pages
 from tissueloom.llm.pages import Page
 
@@ -64,3 +66,29 @@ def test_names_do_not_take_the_article(spark):
     rows += [(f"http://same/{i}", f"<body><p>Own {i}</p><div class=sidebar><p>A long text that is the same on all of the pages</p></div></body>") for i in range(6)]
     want = [f"Long main text of page number {i}" for i in range(6)] + ["One page of a host of copies"] * 6
     assert texts(spark, rows) == want + [f"Own {i}" for i in range(6)]
+
+
+def test_any_depth_in_linear_time():
+    for tag in ("<div>", "<span>", "<p><b>", "<div class=ad>", "<form>", "<main>", "<li><ul>"):
+        start = time.process_time()
+        Page(tag * 100_000 + "text").texts()
+        assert time.process_time() - start < 20, tag
+
+
+def test_text_nodes_are_decoded_one_by_one():
+    assert Page("<p>&<b>amp;</b> x &amp;amp; y &am<!-- -->p; z &lt;b&gt;").texts() == ["&amp; x &amp; y &amp; z <b>"]
+
+
+def test_lone_pages_judge_named_branches_themselves(spark):
+    form = "<body><form id=aspnetForm><div class=content><p>The whole article of this page</p></div></form><form>Go</form></body>"
+    side = "<body><div class=sidebar><p>A long main text in an oddly named box</p><i class=ad>Buy</i></div><div class=menu>Menu</div></body>"
+    rows = [("http://lone/", form), ("http://copies/", side), ("http://copies/2", side), (None, form), ("no host", side)]
+    article, box = "The whole article of this page", "A long main text in an oddly named box"
+    assert texts(spark, rows) == [article, box, box, article, box]
+
+
+def test_odd_rows(spark):
+    rows = [(None, "http://a/", "<p>x", 1), (1, "http://a/", "<p>x", 2), (1, "http://a/", "<p>x", 2), (2, "", None, 3)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, noise int").selectExpr("*", "1 AS host", "2 AS spared")
+    got = sorted((str(r.page_id), r.text, r.n_chars) for r in pages.main_text(df).collect())
+    assert got == [("1", "x", 1), ("1", "x", 1), ("2", "", 0), ("None", "x", 1)]

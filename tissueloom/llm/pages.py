@@ -95,11 +95,39 @@ class Page:
         self._text: list[tuple[str, int]] = []
         self._depth = 0  # open elements that hold all of the text so far
         # name, path, noise, number, inline element named as noise
-        self._stack: list[tuple[str, str, bool, int, int]] = []
+        self._stack: list[tuple[str, int, bool, int, int]] = []
+        # where in the stack elements of a name, blocks, and elements named as noise stand, ascending
+        self._at: dict[str, list[int]] = {}
+        self._block_at: list[int] = []
+        self._named_at: list[int] = []
         self._parse(source or "")
 
+    def _push(self, element: tuple[str, int, bool, int, int]) -> None:
+        at = len(self._stack)
+        self._at.setdefault(element[0], []).append(at)
+        if element[0] in BLOCKS:
+            self._block_at.append(at)
+        if element[3] in self.named:
+            self._named_at.append(at)
+        self._stack.append(element)
+
+    def _cut(self, at: int) -> None:
+        """Take everything from place ``at`` on off the stack."""
+        while len(self._stack) > at:
+            self._at[self._stack.pop()[0]].pop()
+        for places in (self._block_at, self._named_at):
+            while places and places[-1] >= at:
+                places.pop()
+
+    def _last(self, name: str) -> int:
+        places = self._at.get(name)
+        return places[-1] if places else -1
+
     def _add(self, piece: str) -> None:
-        _, _, noise, number, inline = self._stack[-1] if self._stack else ("", "", False, 0, 0)
+        """One text node, or a part of one without a character reference, in the open element."""
+        if "&" in piece:
+            piece = html.unescape(piece)
+        _, _, noise, number, inline = self._stack[-1] if self._stack else ("", 0, False, 0, 0)
         if noise:
             piece = " "  # noise parts words, as a box of its own would
         elif not self._text or len(self._stack) < self._depth:
@@ -119,50 +147,54 @@ class Page:
         if at < self._depth:  # the text goes on outside
             self._before = len(self.inside[self._stack[at - 1][3] if at else 0])
             self._depth = at
-        del self._stack[at:]
+        self._cut(at)
 
     def _open(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
             self._flush()
             for top, closers in CLOSED_BY.items():
                 if name in closers and self._stack and self._stack[-1][0] == top:
-                    self._stack.pop()
-            if any(x[0] == "p" for x in self._stack):  # a block closes an open paragraph and what it holds
-                at = max(i for i, x in enumerate(self._stack) if x[0] == "p")
-                if not any(x[0] in BLOCKS for x in self._stack[at + 1 :]):
-                    # inline noise around the block lasts until its own end
-                    inner = [x for x in self._stack[at + 1 :] if not self._stack[at][2] and (x[2] or x[3] in self.named)]
-                    self._stack[at:] = inner
+                    self._cut(len(self._stack) - 1)
+            at = self._last("p")
+            if at >= 0 and self._block_at[-1] == at:  # a block closes an open paragraph and what it holds
+                # inline noise around the block lasts until its own end
+                inner = [x for x in self._stack[at + 1 :] if not self._stack[at][2] and (x[2] or x[3] in self.named)]
+                self._cut(at)
+                for element in inner:
+                    self._push(element)
         sign, noise, named, advert = signature(name, attributes)
-        if name == "header" and any(x[0] in ("article", "main") for x in self._stack):
+        if name == "header" and (self._last("article") >= 0 or self._last("main") >= 0):
             noise = named = False  # an article's own heading
-        if name == "main" or name == "article" and not any(x[0] == name for x in self._stack):
-            self.named.difference_update(x[3] for x in self._stack)
-        parent = self._stack[-1] if self._stack else ("", "", False, 0, 0)
+        if name == "form" and self._last("form") >= 0:
+            named = False  # forms do not nest
+        if name == "main" or name == "article" and self._last(name) < 0:
+            self.named.difference_update(self._stack[at][3] for at in self._named_at)
+            self._named_at = []
+        parent = self._stack[-1] if self._stack else ("", 0, False, 0, 0)
         if not parent[2]:
             self.children.setdefault(self.paths[parent[3]], []).append(sign)
         if name in VOID:
             if name == "br":
                 self._add(" ")
             return
-        path = f"{parent[1]}/{sign}"
+        path = hash((parent[1], _sign_hash(sign)))
         number = len(self.inside)
         self.inside.append([])
-        self.inside[parent[3]].append((_path_hash(sign), number))
-        self.paths.append(_path_hash(path))
+        self.inside[parent[3]].append((_sign_hash(sign), number))
+        self.paths.append(path)
         self.up.append(parent[3])
         if named:
             self.named.add(number)
         if advert:
             self.adverts.add(number)
         inline = 0 if name in BLOCKS else number if named else parent[4]
-        self._stack.append((name, path, noise or parent[2], number, inline))
+        self._push((name, path, noise or parent[2], number, inline))
 
     def _close(self, name: str) -> None:
-        at = next((i for i in range(len(self._stack) - 1, -1, -1) if self._stack[i][0] == name), None)
-        if at is None or (name not in BLOCKS and any(x[0] in BLOCKS for x in self._stack[at + 1 :])):
+        at = self._last(name)
+        if at < 0 or (name not in BLOCKS and self._block_at and self._block_at[-1] > at):
             return  # nothing to close, or an inline end outside its block
-        if name in BLOCKS or any(x[0] in BLOCKS for x in self._stack[at:]):
+        if name in BLOCKS:
             self._flush()
         self._pop(at)
 
@@ -241,7 +273,7 @@ class Page:
         for number in range(1, len(self.inside)):
             above = branches[self.up[number]]
             branch = ADVERT if number in self.adverts else hash((self.paths[number], 4))
-            branches.append((*above, branch) if number in self.named else above)
+            branches.append((*above, branch) if number in self.named and branch not in above else above)
         return [[(piece, branches[inline or number], inline) for piece, inline in pieces] for pieces, number, _ in self.blocks]
 
     def nodes(self) -> list[list[tuple[str, tuple[int, ...], list[tuple[int, int, int]]]]]:
@@ -267,6 +299,17 @@ class Page:
             found.append(block)
         return found
 
+    def main_branches(self) -> frozenset[int]:
+        """The branches named as noise, adverts apart, that hold more than half of the page's distinct text."""
+        sizes: dict[int, dict[str, int]] = {ROOT: {}}
+        for parts, _ in zip(self.parts(), self.blocks):
+            for piece, branches, _ in parts:
+                text = clean(piece)
+                for branch in (ROOT, *branches):
+                    sizes.setdefault(branch, {})[text] = len(text)
+        total = sum(sizes[ROOT].values())
+        return frozenset(b for b, own in sizes.items() if b not in (ROOT, ADVERT) and 2 * sum(own.values()) > total)
+
     def texts(self, noise: frozenset[int] = frozenset(), spared: frozenset[int] = frozenset()) -> list[str]:
         """The main text's blocks without what is noise at one of its nodes, or by a name that is not ``spared``."""
         gone = [
@@ -281,12 +324,12 @@ class Page:
 
 
 def clean(raw: str) -> str:
-    return " ".join((html.unescape(raw) if "&" in raw else raw).split())
+    return " ".join(raw.split())
 
 
 @lru_cache(maxsize=8192)
-def _path_hash(path: str) -> int:
-    return digest(path)
+def _sign_hash(sign: str) -> int:
+    return digest(sign)
 
 
 def site_nodes(pages: DataFrame) -> DataFrame:
@@ -332,10 +375,11 @@ def site_nodes(pages: DataFrame) -> DataFrame:
 
 
 def host_noise(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, noise, spared`` from each host's style tree.
+    """``host, noise, spared, compared`` from each host's style tree.
 
     ``noise``: the repeated features of the nodes whose importance is below ``least``; ``spared``: the branches named
-    as noise that have at least this importance and hold more than half of the host's distinct text.
+    as noise that have at least this importance and hold more than half of the host's distinct text; ``compared``:
+    whether any node is on several distinct pages, so that importance can be told at all.
     """
     counted = site_nodes(pages).distinct().groupBy("host", "path", "kind", "value").agg(
         F.count("*").alias("n"), F.max("size").alias("size")
@@ -359,29 +403,36 @@ def host_noise(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int =
             F.flatten(F.collect_list(F.when(known & low & F.isnull("chars"), F.col("repeated")))).alias("noise"),
             F.collect_list(F.when(known & ~low & F.isnotnull("chars"), F.struct("path", "chars"))).alias("high"),
             F.max(F.when(F.col("path") == ROOT, F.col("chars"))).alias("total"),
+            F.max("m").alias("most"),
+        )
+        .select(
+            "host", "noise", F.expr("transform(filter(high, x -> 2 * x.chars > total), x -> x.path)").alias("spared"),
+            (F.col("most") >= max(2, min_pages)).alias("compared"),
         )
-        .select("host", "noise", F.expr("transform(filter(high, x -> 2 * x.chars > total), x -> x.path)").alias("spared"))
     )
 
 
 def main_text(pages: DataFrame, least: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every page.
 
-    A null or empty html gives an empty text.  A null url, or one without a host, has no style tree: only the
-    roles of elements count.  Repeated rows give repeated results; an empty table an empty one; other columns are
+    A null or empty html gives an empty text.  A null url, one without a host, and hosts of one distinct page have
+    no style tree to compare with: roles of elements count, and a branch named as noise (adverts apart) stays if it
+    holds more than half of the page's distinct text.  Repeated rows give repeated results; an empty table an empty one; other columns are
     not looked at.  Pages are read whole.
     """
     host = F.nullif(F.lower(F.regexp_extract("url", r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#\s]*)", 1)), F.lit(""))
     source = pages.select("page_id", "url", "html", host.alias("host"))
     tree = materialise(host_noise(source, least, min_pages), "style-tree")
-    joined = source.join(tree, "host", "left").select("page_id", "url", "html", "noise", "spared")
+    joined = source.join(tree, "host", "left").select("page_id", "url", "html", "noise", "spared", "compared")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
                 texts = []
-                for body, *lists in zip(*(part.column(x).to_pylist() for x in ("html", "noise", "spared"))):
-                    texts.append("\n".join(Page(body).texts(*(frozenset(x or ()) for x in lists))))
+                for body, noise, spared, compared in zip(*(part.column(x).to_pylist() for x in ("html", "noise", "spared", "compared"))):
+                    page = Page(body)
+                    held = frozenset(spared or ()) if compared else page.main_branches()
+                    texts.append("\n".join(page.texts(frozenset(noise or ()), held)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
