@@ -15,6 +15,8 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,8 +26,10 @@ from tissueloom.llm.common import bounded_sample, map_texts, rewrite, with_lengt
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
-#: Tokens in an entity and characters in a token of it, feature buckets, documents and windows to train on, passes.
-MAX_TOKENS, MAX_CHARS, FEATURES, TRAIN_DOCS, TRAIN_WINDOWS, PASSES = 4, 100, 1 << 12, 4_000, 1_500, 4
+#: Tokens in an entity: a phone number's 15 digits in pairs, or a card number's 19 in groups of three.
+MAX_TOKENS = 8
+#: Feature buckets, documents and windows to train on, passes.
+FEATURES, TRAIN_DOCS, TRAIN_WINDOWS, PASSES = 1 << 12, 4_000, 1_500, 4
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -95,7 +99,7 @@ def windows(text: str | None) -> list[list[tuple[int, int]]]:
     out: list[list[tuple[int, int]]] = []
     last = None
     for k, m in enumerate(TOKEN.finditer(text)):
-        if m.end() - m.start() > MAX_CHARS or not MARKED.search(m[0]):
+        if not MARKED.search(m[0]):
             continue
         end = m.start() + len(m[0].rstrip(".,;:!?\"'"))
         if last is not None and last == k - 1:
@@ -114,9 +118,9 @@ def features(span: str, tokens: int) -> list[int]:
     parts = span.split(".")
     names = [
         "b",
-        f"f{fine[:40]}",
-        f"c{coarse[:40]}",
-        f"n{min(len(digits), 20)}",
+        f"f{fine}",
+        f"c{coarse}",
+        f"n{len(digits)}",
         f"t{tokens}",
         f"@{min(span.count('@'), 2)}",
         f"l{luhn(digits) and len(digits)}",
@@ -226,8 +230,6 @@ def _labelled(text: str) -> list[tuple[list[str], list[tuple[int, int, int]]]]:
             taken |= set(range(starts[a], ends[b]))
             gold.append((starts[a], ends[b], kind))
         else:
-            if len(window) > 40:
-                continue
             gold += [(i, i + 1, OTHER) for i in range(len(window)) if i not in taken]
             out.append((tokens, sorted(gold)))
             for a, b, kind in gold:
@@ -270,14 +272,15 @@ def all_spans(text: str | None, model: SemiMarkov) -> tuple[list[tuple[int, int,
     base = base_spans(text)
     more = list(base)
     busy = sorted((a, b) for _, a, b in base)
+    begins = [a for a, _ in busy]
+    reach = list(accumulate((b for _, b in busy), max))  # the furthest end of the spans up to each
     for window in windows(text):
-        lo, hi = window[0][0], window[-1][1]
-        near = [(a, b) for a, b in busy if a < hi and b > lo] if busy else []
-        if all(any(a <= s and e <= b for a, b in near) for s, e in window):
+        if all((k := bisect_right(begins, s)) and reach[k - 1] >= e for s, e in window):
             continue  # nothing is left to find
         for i, j, kind in model.decode([text[a:b] for a, b in window]):
             a, b = window[i][0], window[j - 1][1]
-            if a < b and not any(x < b and y > a for x, y in near):
+            k = bisect_left(begins, b)
+            if a < b and not (k and reach[k - 1] > a):
                 more.append((kind, a, b))
     return base, sorted(more)
 
