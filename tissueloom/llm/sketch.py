@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tissueloom.llm.common import map_texts, mix, release, slices
 from tissueloom.sources.storage import materialise
 
-#: Words in a shingle, cells of a sketch, cells in a band, members of a bucket that meet in one piece.
-WORDS, COORDINATES, BAND, BLOCK = 5, 160, 5, 2_000
+#: Words in a shingle, cells of a sketch, cells in a band, members of a bucket that meet in one piece, and their shingles.
+WORDS, COORDINATES, BAND, BLOCK, BLOCK_SHINGLES = 5, 160, 5, 2_000, 4_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,12 +92,11 @@ def _bands(reps: DataFrame) -> DataFrame:
             if cells is None:
                 continue
             keys = [band_keys(c.astype(np.uint64)) for c in cells]
-            rep = np.repeat(batch.column("rep").to_numpy(), len(keys[0]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(rep)], names=["key", "rep"]
-            )
+            columns = [pa.array(np.concatenate(keys).view(np.int64))]
+            columns += [pa.array(np.repeat(batch.column(c).to_numpy(), len(keys[0]))) for c in ("rep", "n_shingles")]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "rep", "n_shingles"])
 
-    return reps.select("rep", "cells").mapInArrow(run, "key bigint, rep bigint")
+    return reps.select("rep", "n_shingles", "cells").mapInArrow(run, "key bigint, rep bigint, n_shingles bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -165,15 +164,18 @@ def forest(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 def bucket_links(docs: DataFrame, reps: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     """``a, b``: edges that span, bucket by bucket, all exact links of documents that share a bucket.
 
-    Buckets with the same members are looked at once.  A bucket of more than ``BLOCK`` members is cut into
-    blocks that meet pairwise, each meeting a task's work of its own, so a bucket of any size is whole.
+    Buckets with the same members are looked at once.  A bucket of more than ``BLOCK`` members, or more than
+    ``BLOCK_SHINGLES`` shingles in all of its members, is cut into blocks that meet pairwise, each meeting a task's work of its own, so a bucket of any size is whole.
     """
     member = F.xxhash64("rep")
     keys = bands.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(9))).alias("y")
+        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(9))).alias("y"),
+        F.sum("n_shingles").alias("all"),
     ).filter("n > 1")
-    keys = keys.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    members = materialise(bands.join(keys, "key"), "members")
+    # no more blocks than members
+    blocks = F.least(F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)), "n")
+    keys = keys.groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("all").alias("all")).select("key", blocks.alias("blocks"))
+    members = materialise(bands.drop("n_shingles").join(keys, "key"), "members")
     wanted = materialise(
         members.select("rep").distinct().join(reps.select("rep", F.col("doc").alias("doc_id"), "set_id"), "rep"), "wanted"
     )
@@ -248,26 +250,27 @@ def linked_components(docs: DataFrame, percent: int) -> DataFrame:
     node from the start; copies are never paired.
     """
     docs = docs.select("doc_id", "text")
-    signed = materialise(
-        signatures(docs).withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.xxhash64("set_id"))), "signatures"
-    )
-    usable = signed.filter("n_shingles > 0 and rep is not null")
-    reps = materialise(
-        usable.groupBy("rep").agg(
-            F.min_by(F.struct(F.col("doc_id").alias("doc"), "set_id", "n_shingles", "cells"), "doc_id").alias("s")
-        ).select("rep", "s.*"),
-        "reps",
+    signed = materialise(signatures(docs), "signatures")
+    usable = signed.filter("n_shingles > 0 and doc_id is not null")
+    # a set is known by its 128-bit hash; the number of its node is given when the table is written
+    reps = usable.groupBy("set_id").agg(
+        F.min_by(F.struct(F.col("doc_id").alias("doc"), "n_shingles", "cells"), "doc_id").alias("s")
     )
+    reps = materialise(reps.select("set_id", "s.*", F.monotonically_increasing_id().alias("rep")), "reps")
+    numbers = reps.select("set_id", "rep")
     bands = materialise(_bands(reps), "bands")
     links = bucket_links(docs, reps, bands, percent)
     # texts of one document belong together
-    texts = usable.groupBy("doc_id").agg(F.collect_set("rep").alias("r")).filter("size(r) > 1")
+    several = usable.groupBy("doc_id").agg(F.collect_set("set_id").alias("s")).filter("size(s) > 1")
+    texts = several.select("doc_id", F.explode("s").alias("set_id")).join(numbers, "set_id")
+    texts = texts.groupBy("doc_id").agg(F.collect_set("rep").alias("r"))
     links = links.unionByName(texts.select(F.array_min("r").alias("a"), F.explode("r").alias("b")).filter("a <> b"))
-    state = materialise(_relabel(reps, links).join(reps.select("rep", "doc"), "rep"), "state")
-    named = state.select("rep", "label").join(
+    state = materialise(_relabel(reps, links).join(reps.select("rep", "set_id", "doc"), "rep"), "state")
+    named = state.select("set_id", "label").join(
         state.groupBy("label").agg(F.min("doc").alias("least")), "label"
     )
-    return signed.select("doc_id", "n_shingles", "rep").join(named.select("rep", "least"), "rep", "left").select(
+    found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id"))
+    return found.join(named.select("set_id", "least"), "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
