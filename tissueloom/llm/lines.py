@@ -9,6 +9,7 @@ Once a level holds ``FANOUT`` runs they are compacted into one run of the next l
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from tissueloom.sources.storage import fresh_path, materialise
 
 #: Batches of documents, runs of a level that are compacted, code points below which a key is left alone.
 BATCHES, FANOUT, MIN_CHARS = 4, 2, 10
+#: A key that this share of a batch's lines hold (and so many lines at least) is joined in this many pieces.
+HOT_SHARE, HOT_LINES, PIECES = 1_000, 1_000, 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,9 +29,11 @@ class Runs:
 
     def __init__(self, spark, buckets: int):
         self.spark, self.buckets, self.levels = spark, buckets, [[]]
+        self.names: list[str] = []
 
     def _write(self, df: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.names.append(name)
         (
             df.write.format("parquet")
             .bucketBy(self.buckets, "key")
@@ -65,6 +70,12 @@ class Runs:
         return out
 
 
+    def forget(self) -> None:
+        """Take the runs' names out of the catalog; their files go with the scratch folder."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _lines(text):
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
@@ -101,14 +112,27 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BA
         "doc_id bigint, version bigint, pos int, key binary, batch int"
     ).parquet(path)
     runs = Runs(spark, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = []
     for b in range(len(set(cuts or [])) + 1):
-        runs.add(keys.filter(F.col("batch") == b).groupBy("key").agg(F.min("doc_id").alias("owner")))
+        batch = keys.filter(F.col("batch") == b)
+        counted = materialise(batch.groupBy("key").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")), "batch")
+        least = (counted.agg(F.sum("n")).first()[0] or 0) / HOT_SHARE
+        hot.append(counted.filter(F.col("n") > F.greatest(F.lit(least), F.lit(HOT_LINES))).select("key"))
+        runs.add(counted.drop("n"))
+    # at most HOT_SHARE keys of a batch are hot: a list of bounded size
+    common = materialise(reduce(DataFrame.unionByName, hot).distinct(), "hot")
+    owners = runs.owners().join(F.broadcast(common.withColumn("hot", F.lit(PIECES))), "key", "left")
+    owners = owners.withColumn("piece", F.explode(F.sequence(F.lit(0), F.coalesce("hot", F.lit(1)) - 1))).drop("hot")
     # one row of a key and document, so that a line repeated inside a document is joined once
     held = keys.groupBy("key", "doc_id", "version").agg(F.collect_set("pos").alias("pos"))
-    lost = held.join(runs.owners(), "key").filter("owner <> doc_id")
-    return materialise(
+    held = held.join(F.broadcast(common.withColumn("hot", F.lit(PIECES))), "key", "left")
+    piece = F.pmod(F.xxhash64("doc_id", "version"), F.coalesce("hot", F.lit(1))).cast("int")
+    lost = held.withColumn("piece", piece).drop("hot").join(owners, ["key", "piece"]).filter("owner <> doc_id")
+    dropped = materialise(
         lost.groupBy("doc_id", "version").agg(F.array_sort(F.flatten(F.collect_list("pos"))).alias("drop")), "drop"
     )
+    runs.forget()
+    return dropped
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
