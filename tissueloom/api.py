@@ -23,6 +23,8 @@ from tissueloom.operators.annotate import (  # noqa: F401
     gene_to_tissue,
 )
 from tissueloom.operators.communities import communities, modularity  # noqa: F401
+from tissueloom.operators.grid import grid_knn  # noqa: F401
+from tissueloom.operators.leiden import refined_communities  # noqa: F401
 from tissueloom.operators.lineage import (  # noqa: F401
     assay_subset,
     attach_embedding,
@@ -30,12 +32,15 @@ from tissueloom.operators.lineage import (  # noqa: F401
     lineage_ancestor,
     lineage_edges,
     lineage_median,
+    lineage_paths,
     lineage_transitions,
     lineage_wide,
     pair_prospects,
     stratified_sample,
     time_pairs,
 )
+from tissueloom.operators.local import local_foreground, segment_cells_locally, sharpen  # noqa: F401
+from tissueloom.operators.longpca import by_number, fit_pca_long, numbered_cells  # noqa: F401
 from tissueloom.operators.markers import (  # noqa: F401
     bh_adjust,
     cluster_and_rank,
@@ -53,6 +58,7 @@ from tissueloom.operators.names import (  # noqa: F401
     prefix_lookup,
 )
 from tissueloom.operators.neighbors import knn_graph, knn_join, symmetric_edges  # noqa: F401
+from tissueloom.operators.outline import crop_to_outline, inside_outline  # noqa: F401
 from tissueloom.operators.normalize import (  # noqa: F401
     check_batches,
     dense_counts,
