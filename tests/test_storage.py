@@ -37,3 +37,15 @@ def test_lookup_hint_only_below_the_bound(spark):
     large = storage.lookup_table(spark.range(11), max_rows=10)
     hinted = [t._jdf.queryExecution().analyzed().toString() for t in (small, large)]
     assert "broadcast" in hinted[0].lower() and "broadcast" not in hinted[1].lower()
+
+
+def test_partitioned_writes_leave_few_files(spark, tmp_path):
+    from tissueloom.sources import tables
+
+    rows = spark.range(4000).selectExpr("concat('s', id % 5) AS slice", "'g' AS gene", "cast(id AS int) AS x", "1 AS y", "id AS cnt").repartition(16)
+    tables.write_spots(rows, f"{tmp_path}/spots")
+    tables.write_matrix(f"{tmp_path}/matrix", counts=rows)
+    for folder in (f"{tmp_path}/spots", f"{tmp_path}/matrix/counts"):
+        files = tables.list_files(spark, folder).filter("path LIKE '%part-%' AND path NOT LIKE '%.crc'").count()
+        assert files <= 10  # five folders; sixteen tasks would have left eighty
+    assert tables.scan_spots(spark, f"{tmp_path}/spots").count() == 4000

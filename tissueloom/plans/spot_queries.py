@@ -603,6 +603,40 @@ def tile_cdf(spark, sf_dir):
     return pixels.tile_cdf(materialise(bind.image(spark, sf_dir), "image"))
 
 
+# --- file round trips ------------------------------------------------------------------------
+
+
+@query(
+    "params_file",
+    with_ctes("SELECT stage, slice, dilation_distance, amount, block_size, radius, otsu_class, otsu_index FROM params", "params"),
+)
+def params_file(spark, sf_dir):
+    path = fresh_path(spark, "params")
+    tables.write_csv(bind.params(spark, sf_dir), path)
+    return tables.scan_params(spark, path)
+
+
+@query("labels_file", with_ctes("SELECT slice, x, y, label FROM label_px", "label_px"))
+def labels_file(spark, sf_dir):
+    path = fresh_path(spark, "labels")
+    tables.write_labels(bind.labels(spark, sf_dir), path)
+    return tables.scan_labels(spark, path)
+
+
+@query("gene_map_file", with_ctes("SELECT symbol, gene_id FROM gene_map", "gene_map"))
+def gene_map_file(spark, sf_dir):
+    path = fresh_path(spark, "gene-map")
+    bind.gene_map(spark, sf_dir).select("symbol", "gene_id").write.csv(path, sep="\t", header=True)
+    return tables.scan_gene_map(spark, path)
+
+
+@query("tissue_map_file", with_ctes("SELECT gene_id, stage, tissue FROM tissue_map", "tissue_map"))
+def tissue_map_file(spark, sf_dir):
+    path = fresh_path(spark, "tissue-map")
+    tables.write_csv(bind.tissue_map(spark, sf_dir).select("gene_id", "stage", "tissue"), path)
+    return tables.scan_tissue_map(spark, path)
+
+
 # --- outlines and local brightness -----------------------------------------------------------
 
 

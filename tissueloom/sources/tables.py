@@ -12,6 +12,7 @@ PARAM_SCHEMA = (
     "radius double, otsu_class int, otsu_index int"
 )
 EDGE_SCHEMA = "parent string, child string, prob double"
+LABEL_SCHEMA = "slice string, x int, y int, label bigint"
 GENE_MAP_SCHEMA = "symbol string, gene_id string"
 TISSUE_MAP_SCHEMA = "gene_id string, stage string, tissue string"
 SPOT_SUFFIX = r"_bin1_final\.gem\.gz$"
@@ -33,10 +34,16 @@ def scan_spots(spark: SparkSession, path: str, spread: int | None = None) -> Dat
     return spots.repartition(spread) if spread else spots
 
 
+def gathered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of equal keys brought together before a partitioned write: a folder gets few files instead of one from every
+    task.  Spark splits keys that are large, so one slice with a third of all rows is still written by many tasks."""
+    return df.hint("rebalance", *keys)
+
+
 def write_spots(spots: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Gzip TSV with header, one folder per slice."""
     (
-        spots.select("slice", "gene", "x", "y", F.col("cnt").alias("MIDCounts"))
+        gathered(spots.select("slice", "gene", "x", "y", F.col("cnt").alias("MIDCounts")), "slice")
         .write.mode(mode)
         .partitionBy("slice")
         .csv(path, sep="\t", header=True, compression="gzip")
@@ -46,14 +53,19 @@ def write_spots(spots: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def write_labels(labels: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Long label table as gzip TSV, sorted by (label, x, y) across and within the files."""
     order = ["slice", "label", "x", "y"]
-    labels.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).csv(
+    labels.select("slice", "x", "y", "label").repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).csv(
         path, sep="\t", header=True, compression="gzip"
     )
 
 
+def scan_labels(spark: SparkSession, path: str) -> DataFrame:
+    """Label table as ``write_labels`` leaves it."""
+    return spark.read.schema(LABEL_SCHEMA).csv(path, sep="\t", header=True)
+
+
 def write_by(df: DataFrame, path: str, *keys: str) -> None:
     """Parquet partitioned by keys; re-writing replaces only the partitions present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    gathered(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_matrix(path: str, **parts: DataFrame) -> None:
@@ -83,7 +95,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 def write_image(pixels: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Byte-valued pixel table."""
-    pixels.withColumn("value", F.col("value").cast("short")).write.mode(mode).partitionBy("slice").parquet(path)
+    levels = gathered(pixels.withColumn("value", F.col("value").cast("short")), "slice")
+    levels.write.mode(mode).partitionBy("slice").parquet(path)
 
 
 def scan_params(spark: SparkSession, path: str) -> DataFrame:
