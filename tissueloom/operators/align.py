@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,7 +133,8 @@ def register_slices(
     ``cells``: ``slice, slice_idx, cell, x, y, vec``.  All slice pairs run at once: pairing by
     mutual nearest neighbours of ``vec`` gives the first fit, then up to ``rounds`` rounds of
     nearest point in space refine it.  Relative fits do not depend on where the predecessor
-    ends up, so they are chained at the end.  Returns ``slice_idx, theta, tx, ty``.
+    ends up, so they are chained at the end.  A warning is logged if the nearest points still change after the last
+    round.  Returns ``slice_idx, theta, tx, ty``.
     """
     pts = materialise(
         spatial_sample(cells, n_sampling, seed=seed).select("slice_idx", "cell", "x", "y", "vec"),
@@ -162,6 +165,8 @@ def register_slices(
         if not nearest.exceptAll(links).limit(1).count():
             break
         links = nearest
+    else:
+        logging.getLogger(__name__).warning("registration has not settled after %d rounds", rounds)
     first = pts.filter("slice_idx = 0").select("slice_idx").distinct()
     zero = [F.lit(0.0).alias(c) for c in ("theta", "tx", "ty")]
     return compose_along(
