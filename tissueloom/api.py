@@ -86,6 +86,7 @@ from tissueloom.operators.qc import (  # noqa: F401
 )
 from tissueloom.operators.ranking import draw_threshold, exact_quantiles  # noqa: F401
 from tissueloom.operators.reduce import fit_pca, n_components  # noqa: F401
+from tissueloom.operators.soft import register_softly, scale_pairs, soft_steps  # noqa: F401
 from tissueloom.operators.spots import (  # noqa: F401
     add_z,
     bin_spots,
@@ -104,6 +105,7 @@ from tissueloom.operators.spots import (  # noqa: F401
     slice_index,
     slice_origin,
 )
+from tissueloom.operators.touching import pixel_depths, split_touching  # noqa: F401
 from tissueloom.sources.storage import drop_scratch, materialise  # noqa: F401
 from tissueloom.sources.tables import (  # noqa: F401
     edge_scan,

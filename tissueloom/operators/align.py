@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,8 +126,18 @@ def compose_along(steps: DataFrame) -> DataFrame:
     )
 
 
+def _mutual_nearest(moving: DataFrame, fixed: DataFrame) -> DataFrame:
+    """``pair, src, dst`` of points that are each other's nearest by ``vec``."""
+    there = knn_join(moving, fixed, 1, by=["pair"])
+    back = knn_join(fixed, moving, 1, by=["pair"]).select(
+        "pair", F.col("dst").alias("src"), F.col("src").alias("dst")
+    )
+    return there.join(back, ["pair", "src", "dst"], "left_semi").select("pair", "src", "dst")
+
+
 def register_slices(
-    cells: DataFrame, n_sampling: int = N_SAMPLING, rounds: int = 10, seed: int = 0
+    cells: DataFrame, n_sampling: int = N_SAMPLING, rounds: int = 10, seed: int = 0,
+    start: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Align every slice to its predecessor; slice 0 is fixed.
 
@@ -134,7 +145,8 @@ def register_slices(
     mutual nearest neighbours of ``vec`` gives the first fit, then up to ``rounds`` rounds of
     nearest point in space refine it.  Relative fits do not depend on where the predecessor
     ends up, so they are chained at the end.  A warning is logged if the nearest points still change after the last
-    round.  Returns ``slice_idx, theta, tx, ty``.
+    round.  ``start`` may give the first fit instead: it takes the moving and the fixed points (``pair, cell, x, y, vec``)
+    and returns ``pair, theta, tx, ty``.  Returns ``slice_idx, theta, tx, ty``.
     """
     pts = materialise(
         spatial_sample(cells, n_sampling, seed=seed).select("slice_idx", "cell", "x", "y", "vec"),
@@ -142,11 +154,6 @@ def register_slices(
     )
     moving = pts.filter("slice_idx > 0").withColumnRenamed("slice_idx", "pair")
     fixed = pts.withColumn("pair", F.col("slice_idx") + 1).drop("slice_idx")
-    there = knn_join(moving, fixed, 1, by=["pair"])
-    back = knn_join(fixed, moving, 1, by=["pair"]).select(
-        "pair", F.col("dst").alias("src"), F.col("src").alias("dst")
-    )
-    mutual = there.join(back, ["pair", "src", "dst"], "left_semi").select("pair", "src", "dst")
     a = moving.select("pair", F.col("cell").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
     b = fixed.select("pair", F.col("cell").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
 
@@ -154,7 +161,12 @@ def register_slices(
         points = links.join(a, ["pair", "src"]).join(b, ["pair", "dst"])
         return materialise(rigid_fit(points, "pair"), "fit")
 
-    steps, links = fit(mutual), materialise(mutual, "mutual")
+    if start is None:
+        links = materialise(_mutual_nearest(moving, fixed), "mutual")
+        steps = fit(links)
+    else:
+        steps = materialise(start(moving, fixed).select("pair", "theta", "tx", "ty"), "fit")
+        links = moving.limit(0).select("pair", F.col("cell").alias("src"), F.col("cell").alias("dst"))
     target = fixed.select("pair", "cell", F.array("x", "y").alias("vec"))
     for _ in range(rounds):
         moved = apply_transform(moving.drop("vec"), steps, "pair").select(

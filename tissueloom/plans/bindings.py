@@ -192,6 +192,27 @@ def turned_slices(spark, sf_dir) -> DataFrame:
     )
 
 
+def noisy_slices(spark, sf_dir) -> DataFrame:
+    """``turned_slices`` with vectors that are off by up to 8 units each way; every third one is any place at all."""
+    noise = "conv(substr(md5(concat_ws('|', cell, slice_idx, {})), 1, 8), 16, 10) / 4294967296D - 0.5D"
+    return turned_slices(spark, sf_dir).selectExpr(
+        "slice", "slice_idx", "cell", "x", "y",
+        f"transform(vec, (v, i) -> CASE WHEN (cell + slice_idx) % 3 = 0 THEN 100 * ({noise.format('i')} + 0.5D)"
+        f" ELSE v + 16 * ({noise.format('i')}) END) AS vec",
+    )
+
+
+def cell_overlaps(spark, sf_dir) -> DataFrame:
+    """Squares of consecutive slices at most one square apart, with a cost for distance and for unlike numbers."""
+    own = cells(spark, sf_dir).selectExpr("cast(right(slice, 1) AS int) AS pair", "cell", "cell div 1000 AS gx", "cell % 1000 AS gy")
+    near = own.selectExpr("pair + 1 AS pair", "cell AS dst", "gx AS hx", "gy AS hy").selectExpr(
+        "*", "explode(sequence(-1, 1)) AS dx"
+    ).selectExpr("*", "explode(sequence(-1, 1)) AS dy")
+    return own.join(near.selectExpr("pair", "dst", "dx", "dy", "hx + dx AS gx", "hy + dy AS gy"), ["pair", "gx", "gy"]).selectExpr(
+        "pair", "cell AS src", "dst", "dx * dx + dy * dy + (cell * 7 + dst * 13) % 10 / 10D AS cost"
+    )
+
+
 def transitions_table(spark, sf_dir) -> DataFrame:
     """Weighted state changes between consecutive lines of an order, as an edge list."""
     raw = table(spark, sf_dir, "lineitem").selectExpr(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueloom.operators import align, annotate, communities, grid, leiden, lineage, longpca, markers, neighbors, normalize, qc, reduce
+from tissueloom.operators import align, annotate, communities, grid, leiden, lineage, longpca, markers, neighbors, normalize, qc, reduce, soft
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
-from tissueloom.plans.registry import query, rd
+from tissueloom.plans.registry import QUERIES, query, rd
 from tissueloom.plans.spot_queries import RESID_SQL
 from tissueloom.sources.storage import materialise
 
@@ -673,6 +673,39 @@ def register_slices(spark, sf_dir):
     return r6(align.register_slices(bind.turned_slices(spark, sf_dir)), "theta", "tx", "ty", digits=5)
 
 
+@query("register_softly", QUERIES["register_slices"].oracle)  # the same planted turns
+def register_softly(spark, sf_dir):
+    """The same turns from vectors that are noisy or tell nothing."""
+    return r6(soft.register_softly(bind.noisy_slices(spark, sf_dir)), "theta", "tx", "ty", digits=5)
+
+
+_SCALED = {
+    "own": """SELECT DISTINCT CAST(right(slice, 1) AS INTEGER) AS pair, CAST(x // 5 * 1000 + y // 5 AS BIGINT) AS cell, x // 5 AS gx, y // 5 AS gy FROM clean""",
+    "kernel": """SELECT a.pair, a.cell AS src, b.cell AS dst,
+        exp(-((a.gx - b.gx) * (a.gx - b.gx) + (a.gy - b.gy) * (a.gy - b.gy) + (a.cell * 7 + b.cell * 13) % 10 / 10.0::DOUBLE)) AS k
+      FROM own a JOIN own b ON a.pair = b.pair + 1 AND abs(a.gx - b.gx) <= 1 AND abs(a.gy - b.gy) <= 1""",
+    "v0": "SELECT DISTINCT pair, dst, 1.0::DOUBLE AS v FROM kernel",
+} | {
+    name: sql
+    for i in range(5)
+    for name, sql in (
+        (f"u{i}", f"SELECT pair, src, power(1 / sum(k * v), 0.5) AS u FROM kernel JOIN v{i} USING (pair, dst) GROUP BY ALL"),
+        (f"v{i + 1}", f"SELECT pair, dst, power(1 / sum(k * u), 0.5) AS v FROM kernel JOIN u{i} USING (pair, src) GROUP BY ALL"),
+    )
+} | {"u5": "SELECT pair, src, power(1 / sum(k * v), 0.5) AS u FROM kernel JOIN v5 USING (pair, dst) GROUP BY ALL"}
+
+
+@query(
+    "soft_weights",
+    with_ctes(
+        f"SELECT pair, src, dst, {rd('u * k * v')} AS w FROM kernel JOIN u5 USING (pair, src) JOIN v5 USING (pair, dst)",
+        "clean", extra=_SCALED,
+    ),
+)
+def soft_weights(spark, sf_dir):
+    return r6(soft.scale_pairs(bind.cell_overlaps(spark, sf_dir), ["pair"]).drop("cost"), "w")
+
+
 # --- components ------------------------------------------------------------------------------
 
 

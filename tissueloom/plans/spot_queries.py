@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueloom.operators import local, names, normalize, outline, pixels, qc
+from tissueloom.operators import local, names, normalize, outline, pixels, qc, touching
 from tissueloom.operators import spots as sp
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
@@ -581,6 +581,35 @@ def segment_cells(spark, sf_dir):
     return pixels.segment_cells(image, bind.params(spark, sf_dir))
 
 
+@query(
+    "pixel_depths",
+    with_ctes(
+        "SELECT slice, x, y, max(d) AS depth FROM layers GROUP BY ALL", "image", "params",
+        extra={n: _FG[n] for n in [*_HIST, "fg"]} | {
+            "layers": """SELECT slice, x, y, 1 AS d FROM fg UNION ALL
+              SELECT l.slice, l.x, l.y, l.d + 1 FROM layers l
+              SEMI JOIN layers e ON e.slice = l.slice AND e.x = l.x + 1 AND e.y = l.y
+              SEMI JOIN layers w ON w.slice = l.slice AND w.x = l.x - 1 AND w.y = l.y
+              SEMI JOIN layers n ON n.slice = l.slice AND n.x = l.x AND n.y = l.y + 1
+              SEMI JOIN layers s ON s.slice = l.slice AND s.x = l.x AND s.y = l.y - 1""",
+        },
+        recursive=True,
+    ),
+)
+def pixel_depths(spark, sf_dir):
+    image = materialise(bind.image(spark, sf_dir), "image")
+    return touching.pixel_depths(pixels.foreground(image, bind.params(spark, sf_dir)))
+
+
+@query("split_touching")
+def split_touching(spark, sf_dir):
+    """Touching cells apart, next to the component that each lies in."""
+    image = materialise(bind.image(spark, sf_dir), "image")
+    bright = materialise(pixels.foreground(image, bind.params(spark, sf_dir)), "bright")
+    whole = pixels.label_components(bright).withColumnRenamed("label", "component")
+    return touching.split_touching(bright).join(whole, ["slice", "x", "y"])
+
+
 @query(
     "tile_cdf",
     with_ctes(
