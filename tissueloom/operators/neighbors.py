@@ -277,16 +277,28 @@ def knn_join(
 
 
 def knn_graph(
-    cells: DataFrame, e_neigh: int = 30, s_neigh: int = 6, pca: str = "vec", space: str = "xyz", **sizes
+    cells: DataFrame,
+    e_neigh: int = 30,
+    s_neigh: int = 6,
+    pca: str = "vec",
+    space: str = "xyz",
+    approximate: bool = False,
+    **sizes,
 ) -> DataFrame:
-    """Directed neighbours in expression space and in physical space: ``src, dst, kind, rank``."""
-    parts = [
-        knn_join(cells, cells, n, vec=v, exclude_self=True, **sizes).select(
-            "src", "dst", F.lit(kind).alias("kind"), "rank"
-        )
-        for v, n, kind in ((pca, e_neigh, "expression"), (space, s_neigh, "space"))
-    ]
-    return parts[0].unionByName(parts[1])
+    """Directed neighbours in expression space and in physical space: ``src, dst, kind, rank``.
+
+    ``approximate``: those in expression space come from ``descent_graph``, for cells so many that comparing nearly
+    all pairs of long vectors is out of reach; the cells' ids must be whole numbers.
+    """
+    from tissueloom.operators.descent import descent_graph
+
+    if approximate:
+        near = descent_graph(cells, e_neigh, vec=pca).graph
+    else:
+        near = knn_join(cells, cells, e_neigh, vec=pca, exclude_self=True, **sizes)
+    around = knn_join(cells, cells, s_neigh, vec=space, exclude_self=True, **sizes)
+    as_kind = lambda found, kind: found.select("src", "dst", F.lit(kind).alias("kind"), "rank")
+    return as_kind(near, "expression").unionByName(as_kind(around, "space"))
 
 
 def symmetric_edges(graph: DataFrame) -> DataFrame:

@@ -118,6 +118,14 @@ def values(spark, sf_dir, planted: bool = True) -> DataFrame:
     )
 
 
+def order_profiles(spark, sf_dir) -> DataFrame:
+    """Cells in twelve dimensions: an order's quantity by month of shipping."""
+    month = F.month("l_shipdate")
+    parts = [F.sum(F.when(month == m, F.col("l_quantity").cast("double")).otherwise(0.0)).alias(f"m{m}") for m in range(1, 13)]
+    sums = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*parts)
+    return sums.select(F.col("l_orderkey").alias("cell"), F.array(*[f"m{m}" for m in range(1, 13)]).alias("vec"))
+
+
 def groups(spark, sf_dir) -> DataFrame:
     return vecs(spark, sf_dir).selectExpr("cell", "label AS `group`")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tissueloom.operators import align, annotate, communities, grid, leiden, lineage, longpca, markers, neighbors, normalize, qc, reduce, soft
+from tissueloom.operators import align, annotate, communities, descent, grid, leiden, lineage, longpca, markers, neighbors, normalize, qc, reduce, soft
 from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
 from tissueloom.plans.registry import QUERIES, query, rd
@@ -282,6 +283,48 @@ def cell_neighbors(spark, sf_dir):
     return r6(grid.grid_knn(cells, 6, by=["slice"]), "d2")
 
 
+@query("descent_recall")
+def descent_recall(spark, sf_dir):
+    """How many of the exact neighbours the descent finds, and for what share of all pairs compared."""
+    cells = materialise(bind.order_profiles(spark, sf_dir), "profiles")
+    return descent.descent_recall(descent.descent_graph(cells, 15), cells)
+
+
+@query(
+    "descent_checks",
+    """SELECT count(DISTINCT l_orderkey) AS nodes, 15 * count(DISTINCT l_orderkey) AS entries, 0 AS short, 0 AS loops,
+         0 AS repeated, 0 AS unsorted, 0 AS wrong, true AS recall_reached, true AS tenth_compared FROM lineitem""",
+)
+def descent_checks(spark, sf_dir):
+    """What must hold of approximate lists: full, free of loops and repeats, in order, with true distances; recall of
+    at least 0.95 for at most a tenth of all pairs compared."""
+    cells = materialise(bind.order_profiles(spark, sf_dir), "profiles")
+    found = descent.descent_graph(cells, 15)
+    vec = lambda side: cells.select(F.col("cell").alias(side), F.col("vec").alias(f"_{side}"))
+    real = F.aggregate(F.zip_with("_src", "_dst", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    order = Window.partitionBy("src").orderBy("rank")
+    rows = found.graph.join(vec("src"), "src").join(vec("dst"), "dst").withColumn(
+        "_before", F.lag(F.struct("d2", "dst")).over(order)
+    )
+    lists = rows.groupBy("src").agg(
+        F.count("*").alias("n"), F.countDistinct("dst").alias("different"),
+        F.count_if(F.col("src") == F.col("dst")).alias("loops"),
+        F.count_if(F.col("_before") > F.struct("d2", "dst")).alias("unsorted"),
+        F.count_if(F.abs(real - F.col("d2")) > 1e-6).alias("wrong"),
+    )
+    total = lists.agg(
+        F.count("*").alias("nodes"), F.sum("n").alias("entries"), F.count_if(F.col("n") < 15).alias("short"),
+        F.sum("loops").alias("loops"), F.sum(F.col("n") - F.col("different")).alias("repeated"),
+        F.sum("unsorted").alias("unsorted"), F.sum("wrong").alias("wrong"),
+    )
+    quality = descent.descent_recall(found, cells).first()
+    return total.select(
+        "*",
+        F.lit(quality["recall"] >= 0.95).alias("recall_reached"),
+        F.lit(quality["compared_share"] <= 0.1).alias("tenth_compared"),
+    )
+
+
 def _rounds(n: int) -> dict[str, str]:
     parts = dict(_GRAPH)
     parts["deg"] = "SELECT i, count(*)::DOUBLE AS k FROM sym GROUP BY i"
