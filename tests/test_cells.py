@@ -48,6 +48,20 @@ def test_result_does_not_depend_on_partitions(spark):
     assert results[0] == results[1]
 
 
+def test_each_time_pair_draws_its_own_cells(spark):
+    cells = _tiny(spark, [(0, "a", 40), (1, "a", 41), (1, "b", 3), (2, "a", 40)])
+    pre, nex = lineage.pair_samples(cells)
+    drawn = {}
+    for side, df in (("pre", pre), ("nex", nex)):
+        for r in df.collect():
+            drawn.setdefault((side, r["pre_stage"], r["nex_stage"], r["state"]), set()).add(r["cell_id"])
+    assert {k: len(v) for k, v in drawn.items()} == {
+        ("pre", 0, 1, "a"): 8, ("pre", 0, 2, "a"): 8, ("pre", 1, 2, "a"): 9, ("pre", 1, 2, "b"): 1,
+        ("nex", 0, 1, "a"): 9, ("nex", 0, 1, "b"): 1, ("nex", 0, 2, "a"): 8, ("nex", 1, 2, "a"): 8,
+    }
+    assert drawn["pre", 0, 1, "a"] != drawn["pre", 0, 2, "a"] and drawn["nex", 0, 2, "a"] != drawn["nex", 1, 2, "a"]
+
+
 def _tiny(spark, sizes):
     data = [
         (i * 100 + n, "RNA", stage, state, [float(stage), float(n)])

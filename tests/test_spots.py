@@ -239,6 +239,17 @@ def test_exact_quantiles_with_a_hot_value(spark, n):
     assert np.allclose([r.quantile for r in got], np.quantile(data, probs))
 
 
+@pytest.mark.parametrize("buckets", [50, 4096])
+def test_exact_quantiles_beside_far_outliers(spark, buckets):
+    """Buckets of equal width would hold all but one value in one of them."""
+    data = np.r_[np.random.default_rng(1).normal(size=4000), 1e12, -1e300]
+    df = spark.createDataFrame([("g", float(v)) for v in data], "k string, v double")
+    probs = [0.001, 0.25, 0.5, 0.999]
+    got = ranking.exact_quantiles(df, ["k"], "v", probs, buckets=buckets).orderBy("prob").collect()
+    assert np.allclose([r.quantile for r in got], np.quantile(data, probs))
+    assert ranking.exact_quantiles(df.limit(0), ["k"], "v", probs).count() == 0
+
+
 def test_draw_threshold_is_a_top_n(spark):
     df = spark.range(500).select(
         F.when(F.col("id") < 400, "hot").otherwise("cold").alias("g"), columns.draw_key(F.col("id"), 3).alias("key")

@@ -23,6 +23,7 @@ from tissueloom.operators.annotate import (  # noqa: F401
     gene_to_tissue,
 )
 from tissueloom.operators.communities import communities, modularity  # noqa: F401
+from tissueloom.operators.descent import descent_graph, descent_recall  # noqa: F401
 from tissueloom.operators.grid import grid_knn  # noqa: F401
 from tissueloom.operators.leiden import refined_communities  # noqa: F401
 from tissueloom.operators.lineage import (  # noqa: F401
@@ -34,6 +35,7 @@ from tissueloom.operators.lineage import (  # noqa: F401
     lineage_median,
     lineage_paths,
     lineage_transitions,
+    pair_samples,
     lineage_wide,
     pair_prospects,
     stratified_sample,
@@ -121,6 +123,7 @@ from tissueloom.sources.tables import (  # noqa: F401
     write_edges,
     write_image,
     write_labels,
+    scan_lineage,
     write_lineage,
     write_matrix,
     write_spots,

@@ -89,6 +89,29 @@ def pair_pool(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pre.select(*PAIR, *fields), nex.select(*PAIR, *fields)
 
 
+def pair_samples(cells: DataFrame, share: float = SAMPLE_SHARE, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """Earlier and later cells of every time pair, each pair's drawn anew.
+
+    ``ceil(share * n)`` cells of every (pair, stage, state), without replacement, by an order that depends on the pair.
+    """
+    cells = cells.filter(F.col("state").isNotNull())
+    pairs = materialise(time_pairs(cells), "pairs")
+    later = pairs.groupBy("assay", "pre_stage").agg(F.collect_set("nex_stage").alias("_others"))
+    earlier = pairs.groupBy("assay", "nex_stage").agg(F.collect_set("pre_stage").alias("_others"))
+    key = draw_key(F.col("cell_id"), F.col("pre_stage"), F.col("nex_stage"), seed)
+    take = F.ceil(F.round(F.col("n") * F.lit(share), 9))
+    pools = []
+    for own, other, listed in (("pre_stage", "nex_stage", later), ("nex_stage", "pre_stage", earlier)):
+        keyed = (
+            cells.withColumnRenamed("stage", own).join(listed, ["assay", own])
+            .withColumn(other, F.explode("_others")).withColumn("_key", key)
+        )
+        by = [*PAIR, "state"]
+        cut = lookup_table(draw_threshold(keyed, by, "_key", take).select(*by, "cut"), "cuts")
+        pools.append(keyed.join(cut, by).filter("_key <= cut").select(*PAIR, "cell_id", "state", "emb"))
+    return pools[0], pools[1]
+
+
 def _attempts(cells: DataFrame, first: int, last: int, seed: int) -> DataFrame:
     rep = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("rep")
     return cells.select("*", rep).withColumn("_key", draw_key(F.col("cell_id"), F.col("rep"), seed))
@@ -262,9 +285,7 @@ def lineage_transitions(
     attempts: int | None = None,
 ) -> DataFrame:
     """Sample, resample, find neighbours, normalise: the transition matrix of every replicate."""
-    known = cells.filter(F.col("state").isNotNull())
-    sample = materialise(stratified_sample(known, share=share, seed=seed), "sample")
-    pre, nex = (materialise(t, "pool") for t in pair_pool(sample))
+    pre, nex = (materialise(t, "pool") for t in pair_samples(cells, share, seed))
     reps, states = lineage_reps(pre, nex, replicates, drop, min_cell, k, sticky_k, seed, attempts)
     accepted = states.join(reps.select(*PAIR, "rep"), [*PAIR, "rep"], "left_semi")
     return lineage_probs(lineage_counts(pre, nex, reps, seed, list_length), accepted)

@@ -35,9 +35,11 @@ def group_sums(values: DataFrame, groups: DataFrame, by: Sequence[str] = ()) ->
         ),
         "sums",
     )
-    # every group gets every gene, also one that is zero throughout the group
-    listed = sums.groupBy(*keys).agg(F.collect_set("gene").alias("_genes"))
-    frame = sizes.join(listed, keys).select(*keys, "group", "n", F.explode("_genes").alias("gene"))
+    # every group gets every gene, also one that is zero throughout the group: the genes stay spread over
+    # tasks, and each meets the short list of groups
+    listed = sizes.groupBy(*keys).agg(F.collect_list(F.struct("group", "n")).alias("_groups"))
+    genes = sums.select(*keys, "gene").distinct()
+    frame = genes.join(materialise(listed, "groups"), keys).select(*keys, "gene", F.inline("_groups"))
     full = frame.join(sums, [*keys, "group", "gene"], "left").fillna(0.0, ["s1", "m2"]).fillna(0, ["_c"])
     # the stored values and the zeros are two samples; merge their moments
     zeros = F.expr("coalesce(try_divide(s1 * s1, _c) * (n - _c) / n, 0D)")

@@ -1,9 +1,9 @@
 """Order statistics of possibly huge groups.
 
 A plain ``row_number`` over a group sends the whole group to one task.  Both operators below
-first look at a histogram of the sort key (pre-aggregated on the map side, a fixed number of
-buckets per group), find the bucket that holds the wanted rank, and order only the rows of that
-bucket.  Results are exact.
+first look at a summary of the sort key (pre-aggregated on the map side, of fixed size per group:
+a histogram or a rank sketch), find the interval that holds the wanted rank, and order only the rows of
+that interval.  Results are exact.
 """
 
 from __future__ import annotations
@@ -54,61 +54,54 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as ``by…, prob, quantile``.
 
-    Equal values are collapsed to one counted row first, so a value shared by a third of all
-    rows costs one row.
+    A sketch of each group (error: one rank in ``buckets``) names an interval of values that holds the wanted
+    ranks, wherever most of the values lie; one pass counts what is below and inside.  Only the values inside,
+    some ``4 / buckets`` of a group, are ordered, equal ones as one counted row.  Should an interval miss its
+    ranks, it becomes the whole group.
     """
-    by = list(by)
-    counted = materialise(
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_rows")),
-        "values",
-    )
-    span = materialise(
-        counted.groupBy(*by).agg(
-            F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_rows").alias("_total")
-        ),
-        "span",
+    by, numbers = list(by), range(len(probs))
+    values = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    values = materialise(values, "values")
+    margin = 2 / buckets
+    ends = [min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    sketch = values.groupBy(*by).agg(
+        F.count("*").alias("_total"), F.percentile_approx("_v", ends, buckets).alias("_ends")
     )
-    share = F.expr("try_divide(_v - _lo, _hi - _lo)")
-    bucketed = counted.join(span, by).select(
-        *by,
-        "_v",
-        "_rows",
-        F.coalesce(F.least(F.floor(share * buckets), F.lit(buckets - 1)), F.lit(0)).alias("_bucket"),
+    inside = [(F.col("_v") >= F.get("_ends", F.lit(2 * i))) & (F.col("_v") <= F.get("_ends", F.lit(2 * i + 1))) for i in numbers]
+    tallied = values.join(materialise(sketch, "sketch"), by).groupBy(*by).agg(
+        F.first("_total").alias("_total"),
+        F.first("_ends").alias("_ends"),
+        F.array(*[F.count_if(F.col("_v") < F.get("_ends", F.lit(2 * i))) for i in numbers]).alias("_below"),
+        F.array(*[F.count_if(x) for x in inside]).alias("_in"),
     )
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    hist = (
-        bucketed.groupBy(*by, "_bucket")
-        .agg(F.sum("_rows").alias("_in"))
-        .withColumn("_base", F.sum("_in").over(running) - F.col("_in"))
+    intervals = []
+    for i, p in enumerate(probs):
+        place = F.lit(float(p)) * (F.col("_total") - 1)
+        below, low, high = F.get("_below", F.lit(i)), F.get("_ends", F.lit(2 * i)), F.get("_ends", F.lit(2 * i + 1))
+        holds = (F.floor(place) >= below) & (F.ceil(place) < below + F.get("_in", F.lit(i)))
+        intervals.append(
+            F.struct(
+                F.lit(float(p)).alias("prob"), place.alias("_place"), F.when(holds, low).alias("_low"),
+                F.when(holds, high).alias("_high"), F.when(holds, below).otherwise(0).alias("_base"),
+            )
+        )
+    wanted = materialise(tallied.select(*by, F.array(*intervals).alias("_wanted")), "intervals")
+    near = F.filter(
+        "_wanted", lambda w: w["_low"].isNull() | ((F.col("_v") >= w["_low"]) & (F.col("_v") <= w["_high"]))
     )
-    place = F.col("prob") * (F.col("_total") - 1)
-    wanted = (
-        span.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_frac", place - F.floor(place))
-        .withColumn("_rank", F.explode(F.array(F.floor(place), F.ceil(place))))
-        .select(*by, "prob", "_frac", "_rank")
+    counted = (
+        values.join(wanted, by)
+        .select(*by, "_v", F.explode(near).alias("_w"))
+        .groupBy(*by, "_w.prob", "_w._place", "_w._base", "_v")
+        .agg(F.count("*").alias("_rows"))
     )
-    located = materialise(
-        wanted.join(hist, by).filter(
-            (F.col("_rank") >= F.col("_base")) & (F.col("_rank") < F.col("_base") + F.col("_in"))
-        ),
-        "located",
+    running = Window.partitionBy(*by, "prob").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("_to", F.col("_base") + F.sum("_rows").over(running)).withColumn(
+        "_from", F.col("_to") - F.col("_rows")
     )
-    hit = located.select(*by, "_bucket", "_base").distinct()
-    inner = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
-        bucketed.join(hit, [*by, "_bucket"])
-        .withColumn("_to", F.col("_base") + F.sum("_rows").over(inner))
-        .withColumn("_from", F.col("_to") - F.col("_rows"))
-        .drop("_base", "_rows")
-    )
-    return (
-        located.select(*by, "_bucket", "prob", "_frac", "_rank")
-        .join(rows, [*by, "_bucket"])
-        .filter((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-        .groupBy(*by, "prob")
-        .agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.first("_frac").alias("_frac"))
-        .select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("quantile"))
+    low, high = F.floor("_place"), F.ceil("_place")
+    holds = lambda rank: F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v"))
+    found = placed.groupBy(*by, "prob").agg(
+        F.max(holds(low)).alias("_a"), F.max(holds(high)).alias("_b"), F.first(F.col("_place") - low).alias("_frac")
     )
+    return found.select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("quantile"))

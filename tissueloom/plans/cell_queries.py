@@ -10,7 +10,8 @@ from tissueloom.plans import bindings as bind
 from tissueloom.plans.bindings import with_ctes
 from tissueloom.plans.registry import QUERIES, query, rd
 from tissueloom.plans.spot_queries import RESID_SQL
-from tissueloom.sources.storage import materialise
+from tissueloom.sources import tables
+from tissueloom.sources.storage import fresh_path, materialise
 
 REPLICATES = lineage.REPLICATES
 SEED = 7
@@ -69,9 +70,13 @@ def stratified_sample(spark, sf_dir):
 
 _KEY = "assay, pre_stage, nex_stage"
 def _lineage_sql(replicates: int) -> dict[str, str]:
-    return _PAIRS | _SAMPLE | {
-        "pool": f"""SELECT {_KEY}, 'pre' AS day, cell_id, state, emb FROM pairs JOIN sample s USING (assay) WHERE s.stage = pre_stage
-          UNION ALL SELECT {_KEY}, 'nex', cell_id, state, emb FROM pairs JOIN sample s USING (assay) WHERE s.stage = nex_stage""",
+    return _PAIRS | {
+        "sides": f"""SELECT {_KEY}, 'pre' AS day, cell_id, state, emb FROM pairs JOIN sc_cells s USING (assay) WHERE s.stage = pre_stage
+          UNION ALL SELECT {_KEY}, 'nex', cell_id, state, emb FROM pairs JOIN sc_cells s USING (assay) WHERE s.stage = nex_stage""",
+        "pool": f"""SELECT * EXCLUDE (rn, n) FROM (SELECT *, count(*) OVER (PARTITION BY {_KEY}, day, state) AS n,
+            row_number() OVER (PARTITION BY {_KEY}, day, state
+              ORDER BY md5(concat_ws('|', cell_id, pre_stage, nex_stage, {SEED}))) AS rn FROM sides)
+          WHERE rn <= (n + 4) // 5""",
         "drawn": f"""SELECT * FROM (SELECT p.*, rep, row_number() OVER (PARTITION BY {_KEY}, rep
             ORDER BY md5(concat_ws('|', cell_id, rep, {SEED}))) AS pos, count(*) OVER (PARTITION BY {_KEY}, rep) AS n
           FROM pool p, (SELECT unnest(range(1, {2 * replicates} + 1)) AS rep)) WHERE pos <= round(n * 0.8::DOUBLE)""",
@@ -101,8 +106,7 @@ _LINEAGE = _lineage_sql(REPLICATES)
 
 
 def _prepared(spark, sf_dir):
-    sample = materialise(lineage.stratified_sample(bind.sc_cells(spark, sf_dir), seed=SEED), "sample")
-    return tuple(materialise(t, "pool") for t in lineage.pair_pool(sample))
+    return tuple(materialise(t, "pool") for t in lineage.pair_samples(bind.sc_cells(spark, sf_dir), seed=SEED))
 
 
 def _transitions(spark, sf_dir, replicates=REPLICATES):
@@ -151,6 +155,37 @@ def lineage_median(spark, sf_dir):
     return r6(lineage.lineage_median(_transitions(spark, sf_dir)), "prob")
 
 
+@query(
+    "pair_samples",
+    with_ctes(f"SELECT {_KEY}, day, cell_id, state FROM pool", "sc_cells", extra=_LINEAGE),
+)
+def pair_samples(spark, sf_dir):
+    pre, nex = lineage.pair_samples(bind.sc_cells(spark, sf_dir), seed=SEED)
+    side = lambda df, day: df.select(*lineage.PAIR, F.lit(day).alias("day"), "cell_id", "state")
+    return side(pre, "pre").unionByName(side(nex, "nex"))
+
+
+@query(
+    "lineage_files",
+    with_ctes(
+        f"""SELECT {_KEY}, nex_state, pre_state, round(median(prob), 6) AS prob, count(*) AS replicates, sum(n) AS links
+            FROM probs GROUP BY ALL""",
+        "sc_cells",
+        extra=_LINEAGE,
+    ),
+)
+def lineage_files(spark, sf_dir):
+    """All replicates and the medians, written by time pair and read back."""
+    entries, path = materialise(_transitions(spark, sf_dir), "transitions"), fresh_path(spark, "lineage")
+    tables.write_lineage(entries, lineage.lineage_median(entries), path)
+    key = [*lineage.PAIR, "nex_state", "pre_state"]
+    fields = "assay string, pre_stage int, nex_stage int, nex_state string, pre_state string"
+    replicates = tables.scan_lineage(spark, path, "replicates", f"{fields}, rep int, n bigint, prob double")
+    median = tables.scan_lineage(spark, path, "median", f"{fields}, prob double")
+    counted = replicates.groupBy(*key).agg(F.count("*").alias("replicates"), F.sum("n").alias("links"))
+    return r6(median.join(counted, key), "prob")
+
+
 @query(
     "lineage_wide",
     with_ctes(

@@ -89,6 +89,11 @@ def write_lineage(transitions: DataFrame, median: DataFrame, path: str) -> None:
         write_by(part, f"{path}/{name}", "pre_stage", "nex_stage")
 
 
+def scan_lineage(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """``replicates`` or ``median`` as ``write_lineage`` leaves them; filters on the stages prune folders."""
+    return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).csv(path, header=True)
 
