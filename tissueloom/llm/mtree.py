@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tissueloom.sources.storage import materialise
 
 #: Vectors in a block, entries in a node, queries that meet a block together, routing objects of one vector length.
-BLOCK_ROWS, PAGE, QUERY_ROWS, MAX_ROUTING = 16_384, 64, 8_192, 4_096
+BLOCK_ROWS, PAGE, QUERY_ROWS, MAX_ROUTING = 16_384, 128, 8_192, 4_096
 NODE = (
     "dim int, subtree int, block int, node int, leaf boolean, ids array<bigint>, items binary, "
     "radius array<double>, parent array<double>"
@@ -124,7 +124,13 @@ def search(
         if not len(rows):
             continue
         if leaf:
-            for score, who in zip(exact(entries[rows], query), ids[rows].tolist()):
+            whole = len(rows) == len(ids)
+            scores = exact(entries if whole else entries[rows], query)
+            least = best[0][0] if len(best) == k else floor
+            if least is not None:  # ties with the worst kept still compete by id
+                good = np.flatnonzero(scores >= least)
+                rows, scores = rows[good], scores[good]
+            for score, who in zip(scores.tolist(), ids[rows].tolist()):
                 if who == query_id:
                     continue
                 entry = (int(score), -who)
@@ -289,11 +295,14 @@ def _answers(nodes: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 if row["leaf"] and len(entries):
                     top = max(top, float((entries.astype(float) ** 2).sum(axis=1).max()))
                     large = max(large, int(np.abs(entries).max(initial=0)))
+            if large < 1 << 52:  # leaf entries as doubles, which hold them exactly
+                stored = {n: (leaf, i, e.astype(float) if leaf else e, r, p) for n, (leaf, i, e, r, p) in stored.items()}
             columns = (asking.column(c).to_pylist() for c in ("vec_id", "v", "floor"))
             for who, v, floor in zip(*columns):
                 query = np.array(v, np.int64)
+                as_double = query.astype(float)
                 fits = large * int(np.abs(query).max(initial=0)) * max(dim, 1) < 1 << 52  # exact in doubles
-                exact = (lambda e, q: e.astype(float) @ q.astype(float)) if fits else (lambda e, q: e @ q)
+                exact = (lambda e, q: e @ as_double) if fits else (lambda e, q: e.astype(np.int64) @ q)
                 for score, other in search(stored, top, who, query, k, exact, floor):
                     for column, x in zip(out, (who, other, score)):
                         column.append(x)
