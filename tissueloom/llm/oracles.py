@@ -46,15 +46,19 @@ m AS (
   SELECT s.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-    len(l) AS n_lines, len(list_intersect(list_transform(w, lambda x: lower(x)), [{_STOP}])) AS stops
+    len(l) AS n_lines, len(list_filter(w, lambda x: list_contains([{_STOP}], lower(x)))) AS stops,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[ \\t\\n\\x0b\\f\\r]*[-*•]'))) AS bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\n\\x0b\\f\\r]*$'))) AS cut
   FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id),
 r AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
     list_filter([
       CASE WHEN n_words > 0 AND (word_chars / n_words < 1.5 OR word_chars / n_words > 20) THEN 'word_length' END,
       CASE WHEN n_words > 0 AND n_symbols / n_words > 0.3 THEN 'symbols' END,
-      CASE WHEN stops < 1 THEN 'stop_words' END,
-      CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END], lambda x: x IS NOT NULL) AS bad
+      CASE WHEN n_words > 0 AND stops / n_words < 0.02 THEN 'stop_words' END,
+      CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END,
+      CASE WHEN n_lines > 0 AND bullets / n_lines > 0.9 THEN 'bullet_lines' END,
+      CASE WHEN n_lines > 0 AND cut / n_lines > 0.3 THEN 'cut_lines' END], lambda x: x IS NOT NULL) AS bad
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND len(bad) = 0 AS kept, array_to_string(bad, ',') AS failed FROM r"""

@@ -25,9 +25,13 @@ STOP_WORDS = {
 RULES: list[tuple[str, str, float | None, float | None]] = [
     ("word_length", "mean_word_chars", 1.5, 20.0),
     ("symbols", "symbols_per_word", None, 0.3),
-    ("stop_words", "stop_words", 1, None),
+    ("stop_words", "stop_word_share", 0.02, None),
     ("repeated_lines", "dup_line_share", None, 0.5),
+    ("bullet_lines", "bullet_line_share", None, 0.9),
+    ("cut_lines", "cut_line_share", None, 0.3),
 ]
+#: Lines that begin with a bullet, and lines that break off.
+BULLET, CUT = "^[ \t-\r]*[-*•]", "(\\.\\.\\.|…)[ \t-\r]*$"
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -82,7 +86,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
             "n_repeat_words": long(F.when(F.size("_starts") > 0, covered).otherwise(0)),
             "_n_lines": long(F.size("_lines")),
-            "stop_words": long(F.size(F.array_intersect(F.transform("_words", F.lower), F.array(*map(F.lit, stop))))),
+            "_n_stop": long(F.size(F.filter("_words", lambda w: F.lower(w).isin(stop)))),
+            "_n_bullet": long(F.size(F.filter("_lines", lambda x: x.rlike(BULLET)))),
+            "_n_cut": long(F.size(F.filter("_lines", lambda x: x.rlike(CUT)))),
         }
     )
 
@@ -93,7 +99,9 @@ def compiled(rules=RULES) -> dict[str, Column]:
         "mean_word_chars": F.expr("try_divide(word_chars, n_words)"),
         "symbols_per_word": F.expr("try_divide(n_symbols, n_words)"),
         "dup_line_share": F.expr("try_divide(n_dup_lines, _n_lines)"),
-        "stop_words": F.col("stop_words"),
+        "stop_word_share": F.expr("try_divide(_n_stop, n_words)"),
+        "bullet_line_share": F.expr("try_divide(_n_bullet, _n_lines)"),
+        "cut_line_share": F.expr("try_divide(_n_cut, _n_lines)"),
     }
     out = {}
     for name, measure, low, high in rules:
