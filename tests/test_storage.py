@@ -1,5 +1,6 @@
 """Where intermediate tables go."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -49,3 +50,12 @@ def test_partitioned_writes_leave_few_files(spark, tmp_path):
         files = tables.list_files(spark, folder).filter("path LIKE '%part-%' AND path NOT LIKE '%.crc'").count()
         assert files <= 10  # five folders; sixteen tasks would have left eighty
     assert tables.scan_spots(spark, f"{tmp_path}/spots").count() == 4000
+
+
+def test_released_tables_are_gone_and_the_session_keeps_its_settings(spark):
+    before = spark.conf.get(storage.CLEANUP, None)
+    table, other = storage.materialise(spark.range(5), "old"), storage.materialise(spark.range(3), "new")
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    storage.release(table)
+    assert not folder.exists() and other.count() == 3
+    assert spark.conf.get(storage.CLEANUP, None) == before
