@@ -99,3 +99,22 @@ def test_graph_is_symmetric_without_loops(spark):
     assert graph.groupBy("src", "kind").count().filter("count <> if(kind = 'space', 2, 5)").count() == 0
     edges = {(r.i, r.j) for r in neighbors.symmetric_edges(graph).collect()}
     assert all((j, i) in edges and i != j for i, j in edges)
+
+
+def test_visits_in_turns_give_the_same_neighbours(spark, monkeypatch):
+    v = np.random.default_rng(21).normal(size=(400, 5)).round(1)
+    cells = spark.createDataFrame([(i, i % 2, x.tolist()) for i, x in enumerate(v)], "cell bigint, half int, vec array<double>")
+    key = lambda found: sorted(map(tuple, found.collect()))
+    search = lambda: key(neighbors.knn_join(cells, cells, 4, by=["half"], exclude_self=True, block_rows=40))
+    whole = search()
+    sizes = []
+    look = neighbors._block_join
+
+    def noted(visits, *rest):
+        sizes.append(visits.count())
+        return look(visits, *rest)
+
+    monkeypatch.setattr(neighbors, "_block_join", noted)
+    monkeypatch.setattr(neighbors, "VISIT_ROWS", 150)
+    assert search() == whole
+    assert len(sizes) > 4 and max(sizes) < 400
