@@ -27,42 +27,53 @@ from tissueloom.sources.storage import materialise
 
 #: Tokens in a sequence, and the id that ends a document.
 CAPACITY, END_ID = 2048, 0
-#: Chunks of one generation whose ids a worker remembers from task to task; a chunk longer than this many characters is
-#: not kept.
-MEMORY, LONGEST_KEPT = 700_000, 64
-#: Texts whose chunks are numbered together.
-ROWS_TOGETHER = 2_048
+#: Bytes of chunks and their ids that a worker remembers from task to task; a chunk longer than this many bytes is not
+#: kept.
+MEMORY, LONGEST_KEPT = 24_000_000, 64
+#: Texts whose chunks are numbered together, and their characters, unless a single text has more.
+ROWS_TOGETHER, CHARS_TOGETHER = 2_048, 2_000_000
 #: Last character of the blocks whose letters are single code points that lower-casing and NFC treat alone.
 LATIN_END = "\u024f"
 #: Pieces of one (length, bucket) group that are numbered together.
 GROUP_ROWS = 50_000
 
 
-class Known(dict):
-    """Ids of chunks in two generations; looking up an unknown chunk notes it and gives ``None``.
+class Known:
+    """Ids of chunks met before, as Arrow arrays without a Python object for each chunk.
 
-    A full generation becomes the old one, whose chunks move over when they are met again.
+    Once they take more than ``MEMORY`` bytes, chunks not met since the last time are forgotten, or all, if those met
+    leave no room.
     """
 
     def __init__(self):
-        super().__init__({"": b""})
-        self.old: dict[str, bytes] = {}
-        self.lacking: set[str] = set()
-
-    def __missing__(self, chunk: str) -> bytes | None:
-        ids = self.old.get(chunk)
-        if ids is None:
-            self.lacking.add(chunk)
-        else:
-            self[chunk] = ids
-        return ids
-
-    def learn(self, once: dict[str, bytes]) -> None:
-        if len(self) + len(once) > MEMORY:
-            self.old = dict(self)
-            self.clear()
-            self[""] = b""
-        self.update((c, ids) for c, ids in once.items() if len(c) <= LONGEST_KEPT)
+        self._hold(pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32())))
+
+    def _hold(self, chunks: pa.StringArray, ids: pa.ListArray) -> None:
+        self.chunks, self.ids, self.met = chunks, ids, np.zeros(len(chunks), bool)
+
+    def find(self, chunks: pa.StringArray) -> np.ndarray:
+        """Place of each of these distinct chunks; -1 where it is unknown."""
+        at = pc.fill_null(pc.index_in(self.chunks, value_set=chunks), -1).to_numpy()
+        own = np.flatnonzero(at >= 0)
+        place = np.full(len(chunks), -1, np.int32)
+        place[at[own]] = own
+        self.met[own] = True
+        return place
+
+    def learn(self, chunks: pa.StringArray, ids: pa.ListArray) -> None:
+        """Takes chunks that are not known yet, and their ids."""
+        short = pc.less_equal(pc.binary_length(chunks), LONGEST_KEPT)
+        chunks, ids = chunks.filter(short), ids.filter(short)
+        room = MEMORY - chunks.nbytes - ids.nbytes
+        if room < 0:
+            return
+        if self.chunks.nbytes + self.ids.nbytes > room:
+            met = pa.array(self.met)
+            self._hold(self.chunks.filter(met), self.ids.filter(met))
+            if self.chunks.nbytes + self.ids.nbytes > room:
+                self.__init__()
+        self.chunks, self.ids = pa.concat_arrays([self.chunks, chunks]), pa.concat_arrays([self.ids, ids])
+        self.met = np.r_[self.met, np.ones(len(chunks), bool)]
 
 
 class ChunkTokenizer:
@@ -106,12 +117,12 @@ class ChunkTokenizer:
                 out.update(zip(own, self._ids(own)))
         return out
 
-    def _fresh(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not known yet, and of the words in them."""
-        known, marks = self.known, ".,!?;:"
+    def _fresh(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not known yet, in their order, then of words in them that are not known either."""
+        marks = ".,!?;:"
         parts, others, plain, cased = [], [], set(), set()
         for c in chunks:
-            word, tail = (c[:-1], c[-1]) if c[-1] in marks else (c, "")
+            word, tail = (c[:-1], c[-1]) if c and c[-1] in marks else (c, "")
             if not word.isalpha():
                 others.append(c)
             elif word.isascii() or (max(word) <= LATIN_END and word.lower().isalpha()):
@@ -122,38 +133,47 @@ class ChunkTokenizer:
                 cased.add(word)
             else:
                 others.append(c)
-        ids = self._words([w for w in plain if w not in known and w not in known.old], self.plain)
-        ids |= self._words([w for w in cased if w not in known and w not in known.old], self.tokenizer)
+        remembered = self._remembered([*plain, *(cased - plain)])
+        ids = dict(remembered)
+        ids |= self._words([w for w in plain if w not in ids], self.plain)
+        ids |= self._words([w for w in cased if w not in ids], self.tokenizer)
         tails = self._marks
         if not tails:
             tails.update(zip(["", *marks], [b"", *self._ids(list(marks))]))
-        out = dict(zip(others, self._ids(others))) if others else {}
+        out = dict.fromkeys(chunks)
+        out.update(zip(others, self._ids(others)) if others else ())
         for c, word, tail in parts:
-            out[c] = (ids[word] if word in ids else known[word]) + tails[tail]
-        return ids | out
+            out[c] = ids[word] + tails[tail]
+        return out | {w: own for w, own in ids.items() if w not in remembered}
+
+    def _remembered(self, words: list[str]) -> dict[str, bytes]:
+        place = self.known.find(pa.array(words, pa.string()))
+        own = np.flatnonzero(place >= 0)
+        ids = self.known.ids.take(pa.array(place[own]))
+        raw, cuts = ids.values.to_numpy().tobytes(), (ids.offsets.to_numpy() * 4).tolist()
+        return {words[i]: raw[a:b] for i, a, b in zip(own.tolist(), cuts, cuts[1:])}
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's ids end.
 
-        Arrow splits the texts and numbers the distinct chunks; Python looks at each of these once.
+        Arrow splits the texts, numbers the distinct chunks and finds those known; Python looks at each other one once.
         """
         parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
-        chunks = parts.flatten().dictionary_encode()
-        known, distinct = self.known, chunks.dictionary.to_pylist()
-        known.lacking = set()
-        ids = list(map(known.__getitem__, distinct))
-        if known.lacking:
-            once = self._fresh(known.lacking)
-            ids = [once[c] if own is None else own for c, own in zip(distinct, ids)]
-            known.learn(once)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin = np.cumsum(size) - size
-        code = chunks.indices.to_numpy()
-        size = size[code]
-        ends = np.cumsum(size)
-        table = np.frombuffer(b"".join(ids), "<u4")
-        found = table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[code] - ends + size, size)]
-        return found, np.r_[0, ends][parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        chunks, offsets = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
+        del parts
+        code, chunks = chunks.indices, chunks.dictionary
+        place, ids = self.known.find(chunks), self.known.ids
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            once = self._fresh(chunks.take(pa.array(new)).to_pylist())
+            place[new] = np.arange(len(ids), len(ids) + len(new))
+            cuts = np.r_[0, np.cumsum(np.fromiter(map(len, once.values()), np.int64, len(once)) // 4)]
+            found = np.frombuffer(b"".join(once.values()), "<u4")
+            found = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found))
+            ids = pa.concat_arrays([ids, found])
+            self.known.learn(pa.array(list(once), pa.string()), found)
+        ids = ids.take(pa.array(place).take(code))  # of each chunk in the texts
+        return ids.values.to_numpy(), ids.offsets.to_numpy()[offsets[1:] - offsets[0]].astype(np.int64)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -180,7 +200,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches):
         chunks = chunk_tokenizer(shared.value)
         for batch in batches:
-            for part in slices(batch, "text", rows=ROWS_TOGETHER):
+            for part in slices(batch, "text", CHARS_TOGETHER, ROWS_TOGETHER):
                 ids, ends = chunks.encode_batch(part.column(1))
                 ids = np.insert(ids, ends, END_ID)  # every document's end id
                 ends = ends + np.arange(1, len(ends) + 1)
@@ -200,6 +220,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     columns.append(pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+                release()
 
     ddl = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, ddl)
