@@ -118,3 +118,20 @@ def test_visits_in_turns_give_the_same_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "VISIT_ROWS", 150)
     assert search() == whole
     assert len(sizes) > 4 and max(sizes) < 400
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-30, 1e150, "mixed", "offset", "few", "same"])
+def test_single_precision_only_sifts(size):
+    """Ranks and distances are those of plain sums of squares, whatever the scale, with and without a bound."""
+    rng = np.random.default_rng(5)
+    draw = {
+        "mixed": lambda s: rng.normal(size=s) * 10.0 ** rng.integers(-30, 30, s), "offset": lambda s: rng.normal(size=s) + 1e4,
+        "few": lambda s: rng.integers(0, 3, s).astype(float), "same": np.ones,
+    }.get(size, lambda s: rng.normal(size=s) * size)
+    q, b, k = draw((40, 6)), draw((900, 6)), 7
+    d2 = ((q[:, None] - b[None]) ** 2).sum(axis=2)
+    order = np.argsort(d2, axis=1, kind="stable")[:, :k]
+    for bound in (np.full(40, np.inf), np.take_along_axis(d2, order, 1)[:, -1], np.where(np.arange(40) % 2, np.inf, d2.max())):
+        rows, cols, found = (np.concatenate(x) for x in zip(*neighbors._nearest_in_block(q, b, k, bound)))
+        assert (cols.reshape(40, k) == order).all() and (rows == np.repeat(np.arange(40), k)).all()
+        assert (found == d2[rows, cols]).all()
